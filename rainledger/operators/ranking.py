@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -55,12 +57,13 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     if len(pieces) <= 1:
         first = pieces[0]["first"] if pieces else 0
         return numbered.withColumn(name, F.col("_row") - first + 1).drop("_row")
-    shifts, seen = [], 0
-    for piece in pieces:
-        shifts.append((piece["part"], seen - piece["first"] + 1))
-        seen += piece["rows"]
+    before = accumulate((piece["rows"] for piece in pieces), initial=0)
+    shifts = {
+        "part": [piece["part"] for piece in pieces],
+        "shift": [seen - piece["first"] + 1 for seen, piece in zip(before, pieces)],
+    }
     # One row per partition of the sort, hence safe to broadcast.
-    offsets = F.broadcast(df.sparkSession.createDataFrame(shifts, "part bigint, shift bigint"))
+    offsets = F.broadcast(df.sparkSession.createDataFrame(pa.table(shifts)))
     placed = numbered.withColumn("part", F.shiftright("_row", _ROW_BITS)).join(offsets, "part")
     return placed.withColumn(name, F.col("_row") + F.col("shift")).select(*df.columns, name)
 

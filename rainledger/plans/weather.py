@@ -206,7 +206,7 @@ def gold_drought(drought: DataFrame, places: DataFrame, dates: DataFrame) -> Dat
         _star(drought, places, dates)
         .groupBy("full_date", "province", "location_name")
         .agg(
-            exact_mean(F.col("drought_risk_score"), 1).alias("avg_drought_risk"),
+            F.avg("drought_risk_score").alias("avg_drought_risk"),
             F.max("drought_risk_score").alias("peak_drought_risk"),
         )
     )
@@ -218,8 +218,8 @@ def gold_trend(weather: DataFrame, places: DataFrame, dates: DataFrame) -> DataF
 
 def _trend(star: DataFrame) -> DataFrame:
     return star.groupBy("full_date", "province").agg(
-        exact_mean(F.col("precipitation_sum_mm"), 4).alias("avg_rainfall_mm"),
-        exact_mean(F.col("temperature_2m_mean_c"), 4).alias("avg_temperature_c"),
+        exact_mean(F.col("precipitation_sum_mm"), 18, 4).alias("avg_rainfall_mm"),
+        exact_mean(F.col("temperature_2m_mean_c"), 8, 4).alias("avg_temperature_c"),
     )
 
 
@@ -229,7 +229,7 @@ def gold_fire(fire: DataFrame, places: DataFrame, dates: DataFrame) -> DataFrame
         .withColumnRenamed("_peatland", "peatland_flag")
         .groupBy("full_date", "province", "location_name", "peatland_flag")
         .agg(
-            exact_mean(F.col("fire_risk_score"), 1).alias("avg_fire_risk"),
+            exact_mean(F.col("fire_risk_score"), 5, 1).alias("avg_fire_risk"),
             F.max("fire_risk_score").alias("peak_fire_risk"),
         )
     )
@@ -249,7 +249,7 @@ def drought_ranking(drought: DataFrame, places: DataFrame, dates: DataFrame, sta
         _star(drought, places, _between(dates, start, end))
         .groupBy("province", "location_name")
         .agg(
-            exact_mean(F.col("drought_risk_score"), 1).alias("avg_drought_risk"),
+            F.avg("drought_risk_score").alias("avg_drought_risk"),
             F.max("drought_risk_score").alias("peak_drought_risk"),
         )
         .orderBy(F.col("peak_drought_risk").desc_nulls_last(), "province", "location_name")

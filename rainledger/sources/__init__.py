@@ -3,7 +3,7 @@
 from .files import assert_readable, read_folder, read_landing_json, read_partition
 from .fixed import DATASETS, LOCATIONS, ingest_plan, inline_rows, locations, regional_orders
 from .ingest import CUSTOMER_TABLES, SALES_TABLES, TableSpec, ingest_tables, validate_manifest
-from .jdbc import count_jdbc, jdbc_options, key_range, read_jdbc, split_predicates
+from .jdbc import count_jdbc, jdbc_options, jdbc_reader, key_range, read_jdbc, split_predicates
 from .payload import RECORD_SCHEMA, flatten_daily_payload
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "ingest_tables",
     "inline_rows",
     "jdbc_options",
+    "jdbc_reader",
     "key_range",
     "locations",
     "read_folder",

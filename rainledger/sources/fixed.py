@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The two weather data sets and the reach of each.
 DATASETS = ["forecast", "archive"]
@@ -40,8 +42,10 @@ SAMPLE_ORDERS = [(1, 100), (2, 250), (3, 75), (4, 300), (5, 150)]
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A relation from literal rows."""
-    return spark.createDataFrame(list(rows), schema)
+    """A relation from literal rows; an Arrow table gives it an exact size for join planning."""
+    declared = T.StructType.fromDDL(schema)
+    columns = [pa.array(values) for values in zip(*rows)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, declared.names), declared)
 
 
 def locations(spark: SparkSession) -> DataFrame:

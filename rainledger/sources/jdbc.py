@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +69,11 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def jdbc_reader(spark: SparkSession, url: str, slices: int = 1, **extra: str) -> Callable[[Any], DataFrame]:
+    """The reader an ingest calls per table: each scan is sliced by the key in its spec."""
+    return lambda spec: read_jdbc(spark, url, spec.schema, spec.table, key=spec.key, slices=slices, **extra)
+
+
 def count_jdbc(spark: SparkSession, url: str, schema: str, table: str, **extra: str) -> DataFrame:
     """Row count of a table, computed by the database."""
     query = f"SELECT COUNT(*) AS row_count FROM {quoted(schema, table)}"

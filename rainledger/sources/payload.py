@@ -41,19 +41,19 @@ def flatten_daily_payload(raw: DataFrame, places: DataFrame) -> DataFrame:
     """Landed records from ``raw(dataset, location_key, body)`` and the location table.
 
     A variable that is absent or shorter than ``time`` gives NULL; a payload without days gives
-    no rows.
+    no rows. Locations are joined while there is still one row per payload.
     """
-    daily = raw.select("dataset", "location_key", F.from_json("body", PAYLOAD_SCHEMA)["daily"].alias("daily"))
+    body = F.from_json("body", PAYLOAD_SCHEMA)["daily"].alias("daily")
+    located = raw.select("dataset", "location_key", body).join(places, "location_key")
     days = F.coalesce(F.col("daily.time"), F.array().cast("array<string>"))
     series = [
         F.slice(F.coalesce(F.col(f"daily.{v}"), F.array().cast("array<double>")), 1, F.size(days)).alias(c)
         for v, c in DAILY_VARIABLES.items()
     ]
-    rows = daily.select("dataset", "location_key", days.alias("date"), *series)
-    rows = rows.select("dataset", "location_key", F.inline(F.arrays_zip("date", *DAILY_VARIABLES.values())))
-    mean = F.bround((F.col("temperature_2m_max_c") + F.col("temperature_2m_min_c")) / 2, 3)
-    return (
-        rows.join(places, "location_key")
-        .withColumns({"location": F.col("location_name"), "temperature_2m_mean_c": mean})
-        .select(*RECORD_SCHEMA.fieldNames())
+    place = [F.col("location_name").alias("location"), "province", "island", "latitude", "longitude", "peatland_flag"]
+    aligned = located.select("dataset", *place, days.alias("date"), *series)
+    rows = aligned.select(
+        *RECORD_SCHEMA.fieldNames()[:7], F.inline(F.arrays_zip("date", *DAILY_VARIABLES.values()))
     )
+    mean = F.bround((F.col("temperature_2m_max_c") + F.col("temperature_2m_min_c")) / 2, 3)
+    return rows.withColumn("temperature_2m_mean_c", mean)

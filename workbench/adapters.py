@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.when(F.col("o_orderstatus") == "F", 5).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    status = F.when(F.col("o_orderstatus") == "F", 5).otherwise(1)
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("SalesOrderID"),
         F.col("o_custkey").alias("CustomerID"),

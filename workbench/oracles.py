@@ -13,7 +13,7 @@ HEADER = """
 header AS (
   SELECT o_orderkey AS oid, o_custkey AS cid, o_orderdate AS ordered_at, CAST(o_orderdate AS DATE) AS day,
          CAST(o_orderkey % 25 AS INTEGER) AS tid,
-         CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 1 ELSE 2 END AS status,
+         CASE o_orderstatus WHEN 'F' THEN 5 ELSE 1 END AS status,
          o_orderpriority = '5-LOW' AS online
   FROM orders)"""
 

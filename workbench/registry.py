@@ -154,6 +154,10 @@ def _v1_staging(spark, sf_dir):
     )
 
 
+def _v1_scored(spark, sf_dir):
+    return rfm.rfm_v1_scored(stage(_v1_staging(spark, sf_dir), "rfm_v1_orders"), a.AS_OF)
+
+
 @query
 def customer_orders(spark, sf_dir):
     return _orders(spark, sf_dir)
@@ -191,12 +195,12 @@ def rfm_v1_staging(spark, sf_dir):
 
 @query
 def rfm_v1_scored(spark, sf_dir):
-    return rfm.rfm_v1_scored(_v1_staging(spark, sf_dir), a.AS_OF)
+    return _v1_scored(spark, sf_dir)
 
 
 @query
 def rfm_v1_fact(spark, sf_dir):
-    return rfm.rfm_v1_fact(rfm.rfm_v1_scored(_v1_staging(spark, sf_dir), a.AS_OF))
+    return rfm.rfm_v1_fact(_v1_scored(spark, sf_dir))
 
 
 # --- weather ------------------------------------------------------------------------------------
