@@ -1,5 +1,6 @@
 """Reusable table operators."""
 
+from .joins import broadcast_if_small
 from .quality import (
     QualityError,
     assert_no_nulls,
@@ -20,6 +21,7 @@ __all__ = [
     "assert_not_all_null",
     "assert_not_empty",
     "assert_unique",
+    "broadcast_if_small",
     "global_ntile",
     "grain_violations",
     "keep_first",

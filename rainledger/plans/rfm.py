@@ -7,15 +7,46 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import MONEY, cell_code, display_name, full_days_between, ladder, line_amount, rounded_mean
+from ..operators.joins import broadcast_if_small
 from ..operators.ranking import Tile, global_ntile, keep_first
 from ..sinks.staging import stage
 from ..sinks.tables import with_audit
-from .sales import completed
+from .sales import completed, declared, territory_names
 
 QUARTILES = 4
 
+_INT, _TEXT, _AMOUNT = T.IntegerType(), T.StringType(), T.DecimalType(15, 2)
+
+# Declared types of the first variant.
+TYPED_V1_ORDERS = declared(
+    ["SalesOrderID", "CustomerID"],
+    SalesOrderID=_INT,
+    CustomerID=_INT,
+    OrderDate=T.TimestampNTZType(),
+    TerritoryID=_INT,
+    TerritoryName=_TEXT,
+    OrderAmount=_AMOUNT,
+    CustomerName=_TEXT,
+)
+TYPED_V1_FACT = declared(
+    ["CustomerID"],
+    CustomerID=_INT,
+    CustomerName=_TEXT,
+    TerritoryName=_TEXT,
+    Recency=_INT,
+    Frequency=_INT,
+    Monetary=_AMOUNT,
+    R_Score=_INT,
+    F_Score=_INT,
+    M_Score=_INT,
+    RFM_Score=_INT,
+    Segment=_TEXT,
+    LoadTimestamp=T.TimestampType(),
+)
+
 # Territories of the first variant.
 V1_TERRITORIES = ["Northwest", "Southwest"]
 
@@ -60,13 +91,12 @@ def _order_sums(detail: DataFrame, amount) -> DataFrame:
 def customer_orders(header: DataFrame, detail: DataFrame, territory: DataFrame) -> DataFrame:
     """Completed orders with their amount; grain: order."""
     amount = line_amount(F.col("LineTotal"), F.col("OrderQty"), F.col("UnitPrice"), F.col("UnitPriceDiscount"))
-    names = territory.select("TerritoryID", F.col("Name").alias("TerritoryName"), "CountryRegionCode")
     keys = ["SalesOrderID", "CustomerID", "OrderDate", "TerritoryID", "TerritoryName", "CountryRegionCode"]
     return (
         completed(header)
         .withColumn("OrderDate", F.col("OrderDate").cast("date"))
         .join(_order_sums(detail, amount), "SalesOrderID")
-        .join(names, "TerritoryID")
+        .join(territory_names(territory), "TerritoryID")
         .groupBy(*keys)
         .agg(F.sum("OrderAmount").cast("decimal(28,4)").alias("OrderAmount"), F.sum("LineCount").alias("LineCount"))
     )
@@ -120,7 +150,7 @@ def rfm_raw(orders: DataFrame, people: DataFrame, places: DataFrame, as_of: str)
     day = F.lit(as_of).cast("date")
     return (
         measured.join(people.select("CustomerID", "CustomerName", "IsIndividual"), "CustomerID", "left")
-        .join(places.select("TerritoryID", "TerritoryName"), "TerritoryID", "left")
+        .join(broadcast_if_small(places.select("TerritoryID", "TerritoryName")), "TerritoryID", "left")
         .select(
             "CustomerID",
             "CustomerName",
@@ -178,7 +208,7 @@ def rfm_v1_staging(
     very many orders is a skewed key of the last join; store the result, so that adaptive execution
     may split that join freely.
     """
-    wanted = territory.where(F.col("Name").isin(list(names))).select("TerritoryID", F.col("Name").alias("TerritoryName"))
+    wanted = territory_names(territory.where(F.col("Name").isin(list(names)))).drop("CountryRegionCode")
     people = _with_person(customer.select("CustomerID", "PersonID"), person, ["FirstName", "LastName"])
     return (
         header.select("SalesOrderID", "CustomerID", "OrderDate", "TerritoryID")

@@ -8,16 +8,17 @@ the same tables.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators.quality import assert_not_all_null, assert_unique
 from ..sinks.partitions import write_partition, write_table
-from ..sinks.tables import recreate_views
+from ..sinks.tables import ensure_schemas, recreate_views, replace_typed
 from ..sources.files import assert_readable, read_landing_json, read_partition
 from ..sources.fixed import DATASETS
-from ..sources.ingest import SALES_TABLES
+from ..sources.ingest import CUSTOMER_TABLES, SALES_TABLES, TableSpec
 from . import rfm, sales, weather
 
 log = logging.getLogger(__name__)
@@ -81,6 +82,63 @@ def run_rfm(spark: SparkSession, landing: str, store: str, as_of: str) -> dict[s
     }
 
 
+def run_sales_typed(
+    spark: SparkSession, reader: Callable[[TableSpec], DataFrame], folder: str, database: str = "dwh"
+) -> dict[str, DataFrame]:
+    """The database variant: offline orders read in place, loaded into declared tables.
+
+    Each table is switched to its new rows only after they are complete and checked.
+    """
+    ensure_schemas(spark, [database], folder)
+    raw = {spec.folder: reader(spec) for spec in SALES_TABLES}
+
+    def load(name: str, df: DataFrame, schema: StructType, keys: Sequence[str] = ()) -> DataFrame:
+        return replace_typed(df, f"{database}.{name}", schema, f"{folder}/{name}", keys)
+
+    tables = [raw[name] for name in ("sales_order_header", "sales_order_detail", "sales_territory")]
+    lines = load("stg_sales_orders", sales.order_lines(*tables, online=False), sales.TYPED_LINES)
+    catalog = load(
+        "stg_products",
+        sales.products(raw["product"], raw["product_subcategory"], raw["product_category"]),
+        sales.TYPED_PRODUCTS,
+    )
+    grain = ["ProductID", "TerritoryID"]
+    summary = load("trf_sales_summary", sales.sales_summary(lines, catalog, guard=False), sales.TYPED_SUMMARY, grain)
+    fact = load("fact_sales_performance", sales.sales_fact(summary, None), sales.TYPED_FACT, grain)
+    return {"stg_sales_orders": lines, "stg_products": catalog, "trf_sales_summary": summary, "fact_sales_performance": fact}
+
+
+def run_rfm_v1(
+    spark: SparkSession,
+    reader: Callable[[TableSpec], DataFrame],
+    folder: str,
+    as_of: str,
+    names: Sequence[str] = tuple(rfm.V1_TERRITORIES),
+    database: str = "dwh",
+) -> dict[str, DataFrame]:
+    """The first customer variant, read in place and loaded into declared tables.
+
+    Its scored rows are finer than a customer, so only the order table has a key to check.
+    """
+    ensure_schemas(spark, [database], folder)
+    specs = {spec.folder: spec for spec in [*SALES_TABLES, *CUSTOMER_TABLES]}
+    raw = [reader(specs[name]) for name in RFM_FOLDERS]
+    orders = replace_typed(
+        rfm.rfm_v1_staging(*raw, names),
+        f"{database}.stg_customer_orders",
+        rfm.TYPED_V1_ORDERS,
+        f"{folder}/stg_customer_orders",
+        ["SalesOrderID", "CustomerID"],
+    )
+    fact = replace_typed(
+        rfm.rfm_v1_fact(rfm.rfm_v1_scored(orders, as_of)),
+        f"{database}.fact_customer_rfm",
+        rfm.TYPED_V1_FACT,
+        f"{folder}/fact_customer_rfm",
+    )
+    return {"stg_customer_orders": orders, "fact_customer_rfm": fact}
+
+
 def run_weather(
     spark: SparkSession, landing: str, store: str, as_of: str, datasets: Sequence[str] = DATASETS
 ) -> dict[str, DataFrame]:

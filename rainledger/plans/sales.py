@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import MONEY, margin_percent, rounded_mean
+from ..operators.joins import broadcast_if_small
 from ..sinks.tables import with_audit
 
 # Fixed value: status code of a completed order.
@@ -32,14 +33,14 @@ SUMMARY_COLUMNS = [
 ]
 
 
-def _declared(required: Sequence[str] = (), **columns: T.DataType) -> T.StructType:
+def declared(required: Sequence[str] = (), **columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, name not in required) for name, kind in columns.items()])
 
 
 _INT, _TEXT, _PRICE = T.IntegerType(), T.StringType(), T.DecimalType(10, 2)
 
 # Declared types of the database variant.
-TYPED_LINES = _declared(
+TYPED_LINES = declared(
     SalesOrderID=_INT,
     SalesOrderDetailID=_INT,
     OrderDate=T.DateType(),
@@ -51,7 +52,7 @@ TYPED_LINES = _declared(
     TerritoryName=_TEXT,
     CountryRegionCode=_TEXT,
 )
-TYPED_PRODUCTS = _declared(
+TYPED_PRODUCTS = declared(
     ProductID=_INT,
     ProductName=_TEXT,
     ProductNumber=_TEXT,
@@ -60,7 +61,7 @@ TYPED_PRODUCTS = _declared(
     Category=_TEXT,
     Subcategory=_TEXT,
 )
-TYPED_SUMMARY = _declared(
+TYPED_SUMMARY = declared(
     ["ProductID", "TerritoryID"],
     ProductID=_INT,
     ProductName=_TEXT,
@@ -78,6 +79,7 @@ TYPED_SUMMARY = _declared(
     Margin=_PRICE,
     MarginPct=T.DecimalType(6, 2),
 )
+TYPED_FACT = T.StructType([*TYPED_SUMMARY.fields, T.StructField("LoadTimestamp", T.TimestampType())])
 
 
 def completed(header: DataFrame, online: bool | None = None) -> DataFrame:
@@ -86,8 +88,11 @@ def completed(header: DataFrame, online: bool | None = None) -> DataFrame:
     return kept if online is None else kept.where(F.col("OnlineOrderFlag") == online)
 
 
-def _territory_names(territory: DataFrame) -> DataFrame:
-    return territory.select("TerritoryID", F.col("Name").alias("TerritoryName"), "CountryRegionCode")
+def territory_names(territory: DataFrame) -> DataFrame:
+    """The few territories an order joins; shuffling orders by territory would make huge groups."""
+    return broadcast_if_small(
+        territory.select("TerritoryID", F.col("Name").alias("TerritoryName"), "CountryRegionCode")
+    )
 
 
 def order_lines(
@@ -101,7 +106,7 @@ def order_lines(
     return (
         completed(header, online)
         .select("SalesOrderID", F.col("OrderDate").cast("date").alias("OrderDate"), "TerritoryID")
-        .join(_territory_names(territory), "TerritoryID")
+        .join(territory_names(territory), "TerritoryID")
         .join(detail, "SalesOrderID")
         .select(
             "SalesOrderID",
@@ -123,7 +128,7 @@ def products(product: DataFrame, subcategory: DataFrame, category: DataFrame) ->
     ).join(category.select("ProductCategoryID", F.col("Name").alias("_category")), "ProductCategoryID", "left")
     return (
         product.where(F.col("ListPrice") > 0)
-        .join(families, "ProductSubcategoryID", "left")
+        .join(broadcast_if_small(families), "ProductSubcategoryID", "left")
         .select(
             "ProductID",
             F.col("Name").alias("ProductName"),

@@ -4,7 +4,7 @@ from .files import assert_readable, read_folder, read_landing_json, read_partiti
 from .fixed import DATASETS, LOCATIONS, ingest_plan, inline_rows, locations, regional_orders
 from .ingest import CUSTOMER_TABLES, SALES_TABLES, TableSpec, ingest_tables, validate_manifest
 from .jdbc import count_jdbc, jdbc_options, jdbc_reader, key_range, read_jdbc, split_predicates
-from .payload import RECORD_SCHEMA, flatten_daily_payload
+from .payload import RECORD_SCHEMA, flatten_daily_payload, payloads_without_days
 
 __all__ = [
     "CUSTOMER_TABLES",
@@ -23,6 +23,7 @@ __all__ = [
     "jdbc_reader",
     "key_range",
     "locations",
+    "payloads_without_days",
     "read_folder",
     "read_jdbc",
     "read_landing_json",

@@ -37,6 +37,12 @@ RECORD_SCHEMA = T.StructType(
 )
 
 
+def payloads_without_days(raw: DataFrame) -> DataFrame:
+    """Data set and location of each payload that will give no rows, for a warning."""
+    days = F.from_json("body", PAYLOAD_SCHEMA)["daily"]["time"]
+    return raw.where(F.coalesce(F.size(days), F.lit(0)) <= 0).select("dataset", "location_key")
+
+
 def flatten_daily_payload(raw: DataFrame, places: DataFrame) -> DataFrame:
     """Landed records from ``raw(dataset, location_key, body)`` and the location table.
 

@@ -11,6 +11,7 @@ from rainledger.operators import (
     assert_not_all_null,
     assert_not_empty,
     assert_unique,
+    broadcast_if_small,
     global_ntile,
     grain_violations,
     keep_first,
@@ -132,3 +133,13 @@ def test_layer_counts(spark):
     assert {tuple(r) for r in counts.collect()} == {("a", 3), ("b", 0)}
     with pytest.raises(QualityError):
         layer_counts({})
+
+
+def test_only_a_small_side_is_broadcast(spark):
+    facts, side = spark.range(100).toDF("id"), spark.range(10).select("id", F.col("id").alias("name"))
+
+    def plan(max_rows):
+        joined = facts.join(broadcast_if_small(side, max_rows), "id")
+        return joined._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "broadcast" in plan(10) and "broadcast" not in plan(9)

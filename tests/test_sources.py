@@ -18,6 +18,7 @@ from rainledger.sources import (
     inline_rows,
     jdbc_options,
     locations,
+    payloads_without_days,
     read_folder,
     read_landing_json,
     read_partition,
@@ -78,6 +79,11 @@ def test_payload_arrays_of_other_lengths(spark):
 @pytest.mark.parametrize("body", [{}, {"daily": {}}, {"daily": {"time": []}}, {"daily": None}])
 def test_payload_without_days_gives_no_rows(spark, body):
     assert flattened(spark, body) == []
+    raw = spark.createDataFrame(
+        [("forecast", "medan", json.dumps(body)), ("archive", "medan", '{"daily": {"time": ["2026-06-26"]}}')],
+        "dataset string, location_key string, body string",
+    )
+    assert [tuple(r) for r in payloads_without_days(raw).collect()] == [("forecast", "medan")]
 
 
 # --- fixed tables -------------------------------------------------------------------------------

@@ -22,8 +22,23 @@ SUBCATEGORIES = [(i, f"Subcategory {i}", i % 4) for i in range(8)]
 CATEGORIES = [(i, f"Category {i}") for i in range(3)]
 
 
+# Declared schemas of the given tables: no job to infer them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def header(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,9 +55,10 @@ def header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail(spark: SparkSession, sf_dir: str, *, with_gaps: bool = False) -> DataFrame:
     """``with_gaps`` leaves every third line total NULL, for the fallback amount."""
-    price = F.col("l_extendedprice").cast("decimal(14,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    total = price * F.col("l_quantity").cast("int") * (F.lit(1).cast("decimal(1,0)") - discount)
+    price = F.col("l_extendedprice").cast("decimal(8,2)")
+    discount = F.col("l_discount").cast("decimal(3,2)")
+    # At most 17 digits, so Spark multiplies plain longs.
+    total = price * F.col("l_quantity").cast("decimal(3,0)") * (F.lit(1).cast("decimal(1,0)") - discount)
     if with_gaps:
         total = F.when(F.col("l_linenumber") % 3 != 0, total)
     return table(spark, sf_dir, "lineitem").select(

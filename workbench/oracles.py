@@ -322,10 +322,15 @@ SELECT pid AS ProductID, pname AS ProductName, pnumber AS ProductNumber, CAST(pr
        CAST(cost AS DOUBLE) AS StandardCost, cat AS Category, subcat AS Subcategory
 FROM catalog"""
 
-_OFFLINE = _summary("CAST(total AS DECIMAL(12,2))", "NOT online") + _FROM_SOLD
-_OFFLINE = f"SELECT * REPLACE (CAST(TotalQty AS INTEGER) AS TotalQty, CAST(ProductID AS INTEGER) AS ProductID) FROM ({_OFFLINE})"
-_TYPED = _summary("total", "NOT online") + _FROM_SOLD
-_TYPED = f"SELECT * REPLACE (CAST(TotalQty AS INTEGER) AS TotalQty, CAST(ProductID AS INTEGER) AS ProductID) FROM ({_TYPED})"
+
+def _as_integers(sql: str, *columns: str) -> str:
+    casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})"
+
+
+def _typed_summary(line_total: str) -> str:
+    return _as_integers(_summary(line_total, "NOT online") + _FROM_SOLD, "TotalQty", "ProductID")
+
 
 ORACLES: dict[str, str] = {
     "sales_order_lines": f"""{SALES}
@@ -336,7 +341,7 @@ FROM lines""",
     "products_staged": PRODUCTS_SELECT,
     "sales_summary": _summary("total") + _FROM_SOLD,
     "sales_performance_fact": _summary("total") + ", '2001-08-02' AS BatchDate" + _FROM_SOLD,
-    "sales_summary_offline_orders": _OFFLINE,
+    "sales_summary_offline_orders": _typed_summary("CAST(total AS DECIMAL(12,2))"),
     "category_summary": CATEGORY.format(
         mean=""", CAST((2 * SUM(CAST(FLOOR(o_totalprice) AS BIGINT)) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE)
        AS avg_harga"""
@@ -431,7 +436,7 @@ SELECT tbl AS "table", path || '/dt=2001-08-02' AS path, n AS "rows" FROM landed
     "regional_export_parquet": REGIONAL,
     "regional_export_csv": REGIONAL,
     "rebuilt_table": PRODUCTS_SELECT,
-    "typed_load": _TYPED,
+    "typed_load": _typed_summary("total"),
     "gold_export": f"{FACT} SELECT * EXCLUDE (cash) FROM fact",
     "sales_run": f"""{SALES},
 gaps AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT pid, tid FROM lines JOIN catalog USING (pid)))
@@ -440,6 +445,11 @@ UNION ALL SELECT 'products', (SELECT COUNT(*) FROM catalog)
 UNION ALL SELECT 'sales_summary', n FROM gaps
 UNION ALL SELECT 'fact_sales_performance', n FROM gaps""",
     "rfm_run": f"{FACT} {SEGMENTS}",
+    # The runs read the source whose lines 3 and 6 lack a total.
+    "sales_typed_run": _typed_summary("CASE WHEN line % 3 <> 0 THEN CAST(total AS DECIMAL(12,2)) END"),
+    "rfm_v1_run": _as_integers(
+        f"{V1} {V1_SCORED}", "CustomerID", "Recency", "Frequency", "R_Score", "F_Score", "M_Score", "RFM_Score"
+    ),
     "weather_run": FIXED_RISK + MITIGATION_SELECT,
     "order_line_repeats": """
 SELECT l_orderkey AS SalesOrderID, l_linenumber AS SalesOrderDetailID, COUNT(*) AS copies

@@ -455,6 +455,21 @@ def rfm_run(spark, sf_dir):
     return runs.run_rfm(spark, root, scratch_path(spark, "store"), a.AS_OF)["segment_distribution"]
 
 
+@query
+def sales_typed_run(spark, sf_dir):
+    """The database variant of the sales plan, from its source tables to its declared fact."""
+    tables = runs.run_sales_typed(spark, a.source_reader(spark, sf_dir), scratch_path(spark, "dwh"), "dwh_sales")
+    return tables["fact_sales_performance"]
+
+
+@query
+def rfm_v1_run(spark, sf_dir):
+    """The first customer variant from its source tables to its declared fact."""
+    folder = scratch_path(spark, "dwh")
+    reader = a.source_reader(spark, sf_dir)
+    return runs.run_rfm_v1(spark, reader, folder, a.AS_OF, a.V1_TERRITORIES, "dwh_rfm")["fact_customer_rfm"]
+
+
 @query
 def weather_run(spark, sf_dir):
     """The weather plan from landed JSON to gold; its mitigation table."""
