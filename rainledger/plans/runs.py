@@ -13,8 +13,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..jobs import in_parallel
 from ..operators.quality import assert_not_all_null, assert_unique
 from ..sinks.partitions import write_partition, write_table
+from ..sinks.staging import stage, staging_scope
 from ..sinks.tables import ensure_schemas, recreate_views, replace_typed
 from ..sources.files import assert_readable, read_landing_json, read_partition
 from ..sources.fixed import DATASETS
@@ -69,7 +71,8 @@ def run_rfm(spark: SparkSession, landing: str, store: str, as_of: str) -> dict[s
     places = write_table(rfm.territories(raw["sales_territory"]), store, "silver", "territories")
     measured = write_table(rfm.rfm_raw(orders, people, places, as_of), store, "silver", "customer_rfm")
     assert_unique(measured, ["CustomerID"], "customer_rfm")
-    fact = write_table(rfm.rfm_fact(measured, as_of), store, "gold", "fact_customer_rfm")
+    with staging_scope(spark):
+        fact = write_table(rfm.rfm_fact(measured, as_of), store, "gold", "fact_customer_rfm")
     assert_unique(fact, ["CustomerID"], "fact_customer_rfm")
     write_partition(fact, f"{store}/export", "fact_customer_rfm", as_of)
     return {
@@ -130,12 +133,13 @@ def run_rfm_v1(
         f"{folder}/stg_customer_orders",
         ["SalesOrderID", "CustomerID"],
     )
-    fact = replace_typed(
-        rfm.rfm_v1_fact(rfm.rfm_v1_scored(orders, as_of)),
-        f"{database}.fact_customer_rfm",
-        rfm.TYPED_V1_FACT,
-        f"{folder}/fact_customer_rfm",
-    )
+    with staging_scope(spark):
+        fact = replace_typed(
+            rfm.rfm_v1_fact(rfm.rfm_v1_scored(orders, as_of)),
+            f"{database}.fact_customer_rfm",
+            rfm.TYPED_V1_FACT,
+            f"{folder}/fact_customer_rfm",
+        )
     return {"stg_customer_orders": orders, "fact_customer_rfm": fact}
 
 
@@ -149,32 +153,40 @@ def run_weather(
 def weather_tables(records: DataFrame, store: str) -> dict[str, DataFrame]:
     """Bronze, silver and gold from landed records."""
 
-    def silver(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, store, "silver", name)
-
-    def gold(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, store, "gold", name)
-
-    bronze = write_table(weather.build_bronze(records), store, "bronze", "weather_daily")
-    dates = silver("dim_date", weather.dim_date(bronze))
-    places = silver("dim_location", weather.dim_location(bronze))
-    assert_unique(places, ["location_name"], "dim_location")
-    facts = silver("fact_weather_daily", weather.weather_fact(bronze, dates, places))
-    drought = silver("fact_drought_risk_daily", weather.drought_risk(facts))
-    fire = silver("fact_fire_risk_daily", weather.fire_risk(drought, facts, places))
-    action = silver("fact_mitigation_daily", weather.mitigation(fire))
-    return {
-        "weather_daily": bronze,
-        "dim_date": dates,
-        "dim_location": places,
-        "fact_weather_daily": facts,
-        "fact_drought_risk_daily": drought,
-        "fact_fire_risk_daily": fire,
-        "fact_mitigation_daily": action,
-        "drought_risk_by_region": gold("drought_risk_by_region", weather.gold_drought(drought, places, dates)),
-        "el_nino_weather_trend": gold("el_nino_weather_trend", weather.gold_trend(facts, places, dates)),
-        "karhutla_risk_by_region": gold("karhutla_risk_by_region", weather.gold_fire(fire, places, dates)),
-        "mitigation_priority_daily": gold(
-            "mitigation_priority_daily", weather.gold_mitigation(action, places, dates)
-        ),
-    }
+    spark = records.sparkSession
+
+    def written(layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        scans = in_parallel(spark, lambda name: write_table(frames[name], store, layer, name), frames)
+        return dict(zip(frames, scans))
+
+    with staging_scope(spark):
+        tables = written("bronze", {"weather_daily": weather.build_bronze(records)})
+        bronze = tables["weather_daily"]
+        tables |= written(
+            "silver", {"dim_date": weather.dim_date(bronze), "dim_location": weather.dim_location(bronze)}
+        )
+        dates, places = tables["dim_date"], tables["dim_location"]
+        assert_unique(places, ["location_name"], "dim_location")
+        tables |= written("silver", {"fact_weather_daily": weather.weather_fact(bronze, dates, places)})
+        facts = tables["fact_weather_daily"]
+        # With one row per day and place the risk facts are columns of one pass over the windows.
+        assert_unique(facts, ["date_key", "location_key"], "fact_weather_daily")
+        risk = stage(weather.daily_risk(facts, places), "daily_risk")
+        tables |= written(
+            "silver",
+            {
+                "fact_drought_risk_daily": risk.select(*weather.DROUGHT_COLUMNS),
+                "fact_fire_risk_daily": risk.select(*weather.FIRE_COLUMNS),
+                "fact_mitigation_daily": weather.mitigation(risk),
+            },
+        )
+    drought, fire = tables["fact_drought_risk_daily"], tables["fact_fire_risk_daily"]
+    return tables | written(
+        "gold",
+        {
+            "drought_risk_by_region": weather.gold_drought(drought, places, dates),
+            "el_nino_weather_trend": weather.gold_trend(facts, places, dates),
+            "karhutla_risk_by_region": weather.gold_fire(fire, places, dates),
+            "mitigation_priority_daily": weather.gold_mitigation(tables["fact_mitigation_daily"], places, dates),
+        },
+    )

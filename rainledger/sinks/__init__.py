@@ -9,7 +9,7 @@ from .partitions import (
     write_partition,
     write_table,
 )
-from .staging import shared_folder, stage
+from .staging import shared_folder, stage, staging_scope
 from .tables import (
     conform,
     ensure_schemas,
@@ -28,6 +28,7 @@ __all__ = [
     "replace_typed",
     "shared_folder",
     "stage",
+    "staging_scope",
     "table_path",
     "with_audit",
     "write_by_region",

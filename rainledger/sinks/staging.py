@@ -7,11 +7,15 @@ broadcasts it in a join only when it really is small.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: tempfile.TemporaryDirectory | None = None
+_open_scope: ContextVar[list[str] | None] = ContextVar("open_scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,5 +39,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and return a scan of it."""
     path = scratch_path(df.sparkSession, name)
+    scope = _open_scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside the block when it ends.
+
+    Frames that leave the block must not read them: write results to their own tables first.
+    """
+    paths: list[str] = []
+    token = _open_scope.set(paths)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+        for path in paths:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..jobs import in_parallel
 from ..operators.quality import QualityError, assert_not_empty
 from ..sinks.partitions import partition_path
 from .payload import RECORD_SCHEMA
@@ -27,15 +28,19 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
 
 def assert_readable(spark: SparkSession, root: str, folders: Iterable[str], as_of: str) -> dict[str, int]:
     """Row count per landed table; one error names every table that cannot be read."""
-    counts, failed = {}, []
-    for folder in folders:
+
+    def count(folder: str) -> int | str:
         try:
-            counts[folder] = read_partition(spark, root, folder, as_of).count()
+            return read_partition(spark, root, folder, as_of).count()
         except AnalysisException as error:
-            failed.append(f"{folder}: {error.getCondition()}")
+            return f"{folder}: {error.getCondition()}"
+
+    names = list(folders)
+    counts = in_parallel(spark, count, names)
+    failed = [answer for answer in counts if isinstance(answer, str)]
     if failed:
         raise QualityError(f"unreadable input for {as_of}: {failed}")
-    return counts
+    return dict(zip(names, counts))
 
 
 def read_landing_json(spark: SparkSession, root: str, as_of: str, datasets: Sequence[str]) -> DataFrame:

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..functions.zones import drop_timezones
+from ..jobs import in_parallel
 from ..operators.quality import QualityError
 from ..sinks.partitions import write_partition
 from .files import read_partition
@@ -63,9 +62,7 @@ def ingest_tables(
         rows = write_partition(df, root, spec.folder, as_of)
         return (spec.table, spec.folder, as_of, f"{spec.folder}/dt={as_of}", rows, len(df.columns))
 
-    with ThreadPoolExecutor(parallel) as pool:
-        landed = list(pool.map(inheritable_thread_target(spark)(land), specs))
-    return spark.createDataFrame(landed, MANIFEST_SCHEMA)
+    return spark.createDataFrame(in_parallel(spark, land, specs, parallel), MANIFEST_SCHEMA)
 
 
 def validate_manifest(spark: SparkSession, manifest: DataFrame, root: str) -> DataFrame:
@@ -76,17 +73,19 @@ def validate_manifest(spark: SparkSession, manifest: DataFrame, root: str) -> Da
     entries = manifest.collect()
     if not entries:
         raise QualityError("the manifest is empty")
-    checked, failed = [], []
-    for entry in entries:
+
+    def check(entry: Row) -> tuple[str, int, int] | str:
         try:
             back = read_partition(spark, root, entry["folder"], entry["as_of"]).drop("dt")
             rows, columns = back.count(), len(back.columns)
         except PySparkException as error:
-            failed.append(f"{entry['table']}: {error.getCondition()}")
-            continue
+            return f"{entry['table']}: {error.getCondition()}"
         if (rows, columns) != (entry["rows"], entry["columns"]):
-            failed.append(f"{entry['table']}: {rows} rows x {columns}, expected {entry['rows']} x {entry['columns']}")
-        checked.append((entry["table"], rows, columns))
+            return f"{entry['table']}: {rows} rows x {columns}, expected {entry['rows']} x {entry['columns']}"
+        return entry["table"], rows, columns
+
+    checked = in_parallel(spark, check, entries)
+    failed = [answer for answer in checked if isinstance(answer, str)]
     if failed:
         raise QualityError(f"validation failed for {failed}")
     return spark.createDataFrame(checked, "table string, rows bigint, columns int")

@@ -13,6 +13,7 @@ from rainledger.sinks import (
     replace_typed,
     shared_folder,
     stage,
+    staging_scope,
     table_path,
     with_audit,
     write_by_region,
@@ -35,6 +36,17 @@ def test_stage_uses_the_named_shared_folder(spark):
     assert staged.count() == 5 and all(folder in f for f in staged.inputFiles())
 
 
+def test_scope_deletes_what_was_staged_inside(spark, tmp_path):
+    outside = stage(spark.range(3).toDF("id"), "outside")
+    with pytest.raises(RuntimeError), staging_scope(spark):
+        inside = stage(spark.range(4).toDF("id"), "inside")
+        kept = write_table(inside, str(tmp_path), "silver", "t")
+        raise RuntimeError
+    assert (outside.count(), kept.count()) == (3, 4)
+    with pytest.raises(Exception, match="(?i)not.*exist|FILE_NOT_EXIST"):
+        inside.collect()
+
+
 def test_conform_rounds_half_up(spark):
     rows = conform(amounts(spark, (1, "1.005"), (2, "-1.005"), (3, None)), TYPED).orderBy("id").collect()
     assert [r["amount"] for r in rows] == [D("1.01"), D("-1.01"), None]
