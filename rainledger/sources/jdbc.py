@@ -8,16 +8,22 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 
-def quoted(schema: str, table: str) -> str:
-    return f'"{schema}"."{table}"'
+def _mark(url: str) -> str:
+    """The database's quotation mark for names."""
+    return "`" if url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else '"'
 
 
-def split_predicates(key: str, bounds: Sequence[int]) -> list[str]:
+def quoted(url: str, schema: str, table: str) -> str:
+    mark = _mark(url)
+    return f"{mark}{schema}{mark}.{mark}{table}{mark}"
+
+
+def split_predicates(key: str, bounds: Sequence[int], mark: str = '"') -> list[str]:
     """One predicate per slice of ``key`` between sorted ``bounds``; NULL keys join the first.
 
     Give bounds that cut the rows evenly (quantiles of the key) when key ranges are skewed.
     """
-    column = f'"{key}"'
+    column = f"{mark}{key}{mark}"
     if not bounds:
         return ["1 = 1"]
     middle = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(bounds, bounds[1:])]
@@ -36,12 +42,12 @@ def jdbc_options(
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, Any]:
     """Options of a scan; with a numeric or date ``key`` it is read in ``slices`` equal ranges."""
-    options = {"url": url, "dbtable": quoted(schema, table), "fetchsize": "10000", **(extra or {})}
+    options = {"url": url, "dbtable": quoted(url, schema, table), "fetchsize": "10000", **(extra or {})}
     if key is not None and slices > 1:
         if lowest is None or highest is None:
             raise ValueError("a sliced scan needs the lowest and the highest key")
         options |= {
-            "partitionColumn": f'"{key}"',
+            "partitionColumn": key,
             "lowerBound": str(lowest),
             "upperBound": str(highest),
             "numPartitions": str(slices),
@@ -51,15 +57,31 @@ def jdbc_options(
 
 def key_range(spark: SparkSession, url: str, schema: str, table: str, key: str, **extra: str) -> tuple[Any, Any]:
     """Lowest and highest key, computed by the database."""
-    query = f'SELECT MIN("{key}") AS lowest, MAX("{key}") AS highest FROM {quoted(schema, table)}'
+    column = f"{_mark(url)}{key}{_mark(url)}"
+    query = f"SELECT MIN({column}) AS lowest, MAX({column}) AS highest FROM {quoted(url, schema, table)}"
     row = spark.read.format("jdbc").options(url=url, query=query, **extra).load().first()
     return row["lowest"], row["highest"]
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, schema: str, table: str, *, key: str | None = None, slices: int = 1, **extra: str
+    spark: SparkSession,
+    url: str,
+    schema: str,
+    table: str,
+    *,
+    key: str | None = None,
+    slices: int = 1,
+    bounds: Sequence[int] = (),
+    **extra: str,
 ) -> DataFrame:
-    """Scan a table; filters and column choices on the result run in the database."""
+    """Scan a table; filters and column choices on the result run in the database.
+
+    With a ``key`` the scan runs in ``slices`` equal key ranges, or, where the keys are unevenly
+    spread, in the ranges between ``bounds``.
+    """
+    if key is not None and bounds:
+        predicates = split_predicates(key, bounds, _mark(url))
+        return spark.read.jdbc(url, quoted(url, schema, table), predicates=predicates, properties=dict(extra))
     lowest = highest = None
     if key is not None and slices > 1:
         lowest, highest = key_range(spark, url, schema, table, key, **extra)
@@ -76,5 +98,5 @@ def jdbc_reader(spark: SparkSession, url: str, slices: int = 1, **extra: str) ->
 
 def count_jdbc(spark: SparkSession, url: str, schema: str, table: str, **extra: str) -> DataFrame:
     """Row count of a table, computed by the database."""
-    query = f"SELECT COUNT(*) AS row_count FROM {quoted(schema, table)}"
+    query = f"SELECT COUNT(*) AS row_count FROM {quoted(url, schema, table)}"
     return spark.read.format("jdbc").options(url=url, query=query, **extra).load()

@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 
 from rainledger.operators import QualityError
 from rainledger.plans import weather
-from rainledger.sinks import write_landing_json, write_partition
+from rainledger.sinks import write_jdbc, write_landing_json, write_partition
 from rainledger.sources import (
     DATASETS,
     LOCATIONS,
     RECORD_SCHEMA,
     SALES_TABLES,
     assert_readable,
+    count_jdbc,
     flatten_daily_payload,
     ingest_plan,
     ingest_tables,
@@ -20,6 +21,7 @@ from rainledger.sources import (
     locations,
     payloads_without_days,
     read_folder,
+    read_jdbc,
     read_landing_json,
     read_partition,
     regional_orders,
@@ -207,12 +209,23 @@ def test_jdbc_options():
     plain = jdbc_options("jdbc:x", "Sales", "SalesOrderHeader")
     assert plain["dbtable"] == '"Sales"."SalesOrderHeader"' and "numPartitions" not in plain
     sliced = jdbc_options("jdbc:x", "S", "T", key="K", lowest=1, highest=90, slices=8, extra={"user": "u"})
-    assert (sliced["partitionColumn"], sliced["lowerBound"], sliced["upperBound"]) == ('"K"', "1", "90")
+    assert (sliced["partitionColumn"], sliced["lowerBound"], sliced["upperBound"]) == ("K", "1", "90")
     assert (sliced["numPartitions"], sliced["user"]) == ("8", "u")
+    assert jdbc_options("jdbc:mysql://h/db", "shop", "dim_customers")["dbtable"] == "`shop`.`dim_customers`"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "S", "T", key="K", slices=8)
 
 
+@pytest.mark.parametrize("how", [{}, {"key": "K", "bounds": [10, 20]}, {"key": "K", "slices": 4}])
+def test_jdbc_scan_reaches_the_driver(spark, how):
+    with pytest.raises(Exception, match="No suitable driver"):
+        read_jdbc(spark, "jdbc:none://host/db", "Sales", "SalesOrderHeader", **how)
+    with pytest.raises(Exception, match="No suitable driver"):
+        count_jdbc(spark, "jdbc:none://host/db", "public", "dim_customers")
+    with pytest.raises(Exception, match="No suitable driver"):
+        write_jdbc(spark.range(1), "jdbc:none://host/db", "dwh.t")
+
+
 def test_split_predicates_cover_every_key_once(spark):
     predicates = split_predicates("k", [10, 20, 30])
     df = spark.createDataFrame([(k,) for k in [None, 0, 9, 10, 19, 20, 29, 30, 99]], "k int")

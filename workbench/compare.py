@@ -29,8 +29,18 @@ def _rows(columns: list[str], rows: list[tuple]) -> list[str]:
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
+# Spark type -> the type DuckDB should answer with.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def differences(name: str, spark: SparkSession, sf_dir: str, db) -> list[str]:
-    """What differs between a query and its SQL: columns, row counts, first unlike rows."""
+    """What differs between a query and its SQL: columns, types, row counts, first unlike rows."""
     df = QUERIES[name](spark, sf_dir)
     ours = _rows(df.columns, [tuple(r) for r in df.collect()])
     answer = db.execute(ORACLES[name])
@@ -38,6 +48,10 @@ def differences(name: str, spark: SparkSession, sf_dir: str, db) -> list[str]:
     theirs = _rows(columns, answer.fetchall())
     if sorted(columns) != sorted(df.columns):
         return [f"columns {sorted(df.columns)} against {sorted(columns)}"]
+    kinds = {d[0]: str(d[1]) for d in answer.description}
+    other = {c: (k, kinds[c]) for c, k in df.dtypes if TYPES.get(k) != kinds[c]}
+    if other:
+        return [f"types {other}"]
     if len(ours) != len(theirs):
         return [f"{len(ours)} rows against {len(theirs)}"]
     if not ours:
