@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clamp, date_key, exact_mean, flag_points, ladder, month_name, risk_level, season
+from ..operators.joins import broadcast_if_small
 from ..operators.ranking import keep_first, surrogate_key
 from ..operators.rolling import rolling_sums
 
@@ -131,9 +132,13 @@ def dim_location(bronze: DataFrame) -> DataFrame:
 
 
 def weather_fact(bronze: DataFrame, dates: DataFrame, places: DataFrame) -> DataFrame:
+    """Daily measures with crop stress; grain: location x day.
+
+    The few dates are broadcast, never shuffled: a shuffle by date would make one group per day.
+    """
     return (
         bronze.withColumn("full_date", F.col("date").cast("date"))
-        .join(dates.select("full_date", "date_key"), "full_date")
+        .join(broadcast_if_small(dates.select("full_date", "date_key")), "full_date")
         .join(places.select("location_key", F.col("location_name").alias("location")), "location")
         .withColumn("crop_stress_score", clamp(_points(CROP_STRESS)))
         .select(*WEATHER_COLUMNS)
@@ -197,7 +202,7 @@ def daily_risk(weather: DataFrame, places: DataFrame) -> DataFrame:
 
 def _star(fact: DataFrame, places: DataFrame, dates: DataFrame) -> DataFrame:
     named = places.select("location_key", "province", "location_name", F.col("peatland_flag").alias("_peatland"))
-    days = dates.select("date_key", "full_date", "climate_event")
+    days = broadcast_if_small(dates.select("date_key", "full_date"))
     return fact.join(named, "location_key").join(days, "date_key")
 
 
