@@ -24,7 +24,7 @@ def rounded_mean(total: Column, count: Column, scale: int = 2) -> Column:
 def exact_mean(value: Column, precision: int, scale: int) -> Column:
     """AVG as DOUBLE from an exact decimal sum: one rounding, whatever the row order.
 
-    Up to precision 8 Spark sums plain longs.
+    Values are taken to ``scale`` decimals. Up to precision 8 Spark sums plain longs.
     """
     total = F.sum(value.cast(f"decimal({precision},{scale})")).cast("double")
     return total / F.nullif(F.count(value), F.lit(0))

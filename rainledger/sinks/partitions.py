@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..jobs import in_parallel
+from .staging import stage, staging_scope
+
 REGION_FORMATS = ("parquet", "csv")
 
 
@@ -40,9 +43,11 @@ def write_table(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
 def write_landing_json(records: DataFrame, root: str, as_of: str, stamp: str, datasets: Sequence[str]) -> None:
     """Append records as JSON lines below ``{dataset}/location=/ingestion_date=/ts=``.
 
-    Every line keeps the whole record, ``location`` included. Rebalancing first gives each
-    location few files, and splits a location that holds much of the data over several tasks.
+    Every line keeps the whole record, ``location`` included. The records are computed once and
+    staged, since each data set is a write of its own. Rebalancing gives each location few files,
+    and splits a location that holds much of the data over several tasks.
     """
+    spark = records.sparkSession
     lines = records.select(
         "dataset",
         "location",
@@ -50,15 +55,14 @@ def write_landing_json(records: DataFrame, root: str, as_of: str, stamp: str, da
         F.lit(stamp).alias("ts"),
         F.to_json(F.struct(*records.columns)).alias("value"),
     )
-    for dataset in datasets:
-        (
-            lines.where(F.col("dataset") == dataset)
-            .drop("dataset")
-            .hint("rebalance", "location")
-            .write.mode("append")
-            .partitionBy("location", "ingestion_date", "ts")
-            .text(f"{root}/{dataset}")
-        )
+    with staging_scope(spark):
+        staged = stage(lines, "landing")
+
+        def append(dataset: str) -> None:
+            mine = staged.where(F.col("dataset") == dataset).drop("dataset").hint("rebalance", "location")
+            mine.write.mode("append").partitionBy("location", "ingestion_date", "ts").text(f"{root}/{dataset}")
+
+        in_parallel(spark, append, datasets)
 
 
 def write_by_region(df: DataFrame, path: str, file_format: str) -> None:
