@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -18,7 +19,10 @@ def in_parallel(
 ) -> list[Result]:
     """Results of ``task`` per item, in order, with ``at_once`` jobs submitted at a time.
 
-    A job's tail of few tasks then leaves the cluster to the next job.
+    A job's tail of few tasks then leaves the cluster to the next job. Threads see the caller's
+    Spark properties and context, such as an open staging scope.
     """
+    target = inheritable_thread_target(spark)(task)
     with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(task), items))
+        waiting = [pool.submit(copy_context().run, target, item) for item in items]
+        return [job.result() for job in waiting]

@@ -155,19 +155,20 @@ def weather_tables(records: DataFrame, store: str) -> dict[str, DataFrame]:
 
     spark = records.sparkSession
 
-    def written(layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        scans = in_parallel(spark, lambda name: write_table(frames[name], store, layer, name), frames)
+    def written(layer: str, frames: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        scans = in_parallel(spark, lambda name: write_table(frames[name](), store, layer, name), frames)
         return dict(zip(frames, scans))
 
     with staging_scope(spark):
-        tables = written("bronze", {"weather_daily": weather.build_bronze(records)})
+        tables = written("bronze", {"weather_daily": lambda: weather.build_bronze(records)})
         bronze = tables["weather_daily"]
         tables |= written(
-            "silver", {"dim_date": weather.dim_date(bronze), "dim_location": weather.dim_location(bronze)}
+            "silver",
+            {"dim_date": lambda: weather.dim_date(bronze), "dim_location": lambda: weather.dim_location(bronze)},
         )
         dates, places = tables["dim_date"], tables["dim_location"]
         assert_unique(places, ["location_name"], "dim_location")
-        tables |= written("silver", {"fact_weather_daily": weather.weather_fact(bronze, dates, places)})
+        tables |= written("silver", {"fact_weather_daily": lambda: weather.weather_fact(bronze, dates, places)})
         facts = tables["fact_weather_daily"]
         # With one row per day and place the risk facts are columns of one pass over the windows.
         assert_unique(facts, ["date_key", "location_key"], "fact_weather_daily")
@@ -175,18 +176,18 @@ def weather_tables(records: DataFrame, store: str) -> dict[str, DataFrame]:
         tables |= written(
             "silver",
             {
-                "fact_drought_risk_daily": risk.select(*weather.DROUGHT_COLUMNS),
-                "fact_fire_risk_daily": risk.select(*weather.FIRE_COLUMNS),
-                "fact_mitigation_daily": weather.mitigation(risk),
+                "fact_drought_risk_daily": lambda: risk.select(*weather.DROUGHT_COLUMNS),
+                "fact_fire_risk_daily": lambda: risk.select(*weather.FIRE_COLUMNS),
+                "fact_mitigation_daily": lambda: weather.mitigation(risk),
             },
         )
-    drought, fire = tables["fact_drought_risk_daily"], tables["fact_fire_risk_daily"]
+    drought, fire, action = (tables[f"fact_{name}_daily"] for name in ("drought_risk", "fire_risk", "mitigation"))
     return tables | written(
         "gold",
         {
-            "drought_risk_by_region": weather.gold_drought(drought, places, dates),
-            "el_nino_weather_trend": weather.gold_trend(facts, places, dates),
-            "karhutla_risk_by_region": weather.gold_fire(fire, places, dates),
-            "mitigation_priority_daily": weather.gold_mitigation(tables["fact_mitigation_daily"], places, dates),
+            "drought_risk_by_region": lambda: weather.gold_drought(drought, places, dates),
+            "el_nino_weather_trend": lambda: weather.gold_trend(facts, places, dates),
+            "karhutla_risk_by_region": lambda: weather.gold_fire(fire, places, dates),
+            "mitigation_priority_daily": lambda: weather.gold_mitigation(action, places, dates),
         },
     )

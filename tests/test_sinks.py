@@ -4,6 +4,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import types as T
 
+from rainledger.jobs import in_parallel
 from rainledger.operators import QualityError
 from rainledger.sinks import (
     conform,
@@ -47,6 +48,15 @@ def test_scope_deletes_what_was_staged_inside(spark, tmp_path):
         inside.collect()
 
 
+def test_scope_covers_tables_staged_by_its_threads(spark):
+    with staging_scope(spark):
+        staged = in_parallel(spark, lambda n: stage(spark.range(n).toDF("id"), "thread"), [1, 2, 3])
+        assert [df.count() for df in staged] == [1, 2, 3]
+    for df in staged:
+        with pytest.raises(Exception, match="(?i)not.*exist|FILE_NOT_EXIST"):
+            df.collect()
+
+
 def test_conform_rounds_half_up(spark):
     rows = conform(amounts(spark, (1, "1.005"), (2, "-1.005"), (3, None)), TYPED).orderBy("id").collect()
     assert [r["amount"] for r in rows] == [D("1.01"), D("-1.01"), None]

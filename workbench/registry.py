@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rainledger.jobs import in_parallel
 from rainledger.operators import grain_violations, layer_counts, null_profile
 from rainledger.plans import rfm, runs, sales, weather
 from rainledger.sinks import (
@@ -213,7 +214,8 @@ def _bronze(spark, sf_dir):
 
 def _star(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
-    dates, places = stage(weather.dim_date(bronze), "dim_date"), weather.dim_location(bronze)
+    dimensions = [lambda: stage(weather.dim_date(bronze), "dim_date"), lambda: weather.dim_location(bronze)]
+    dates, places = in_parallel(spark, lambda build: build(), dimensions)
     return weather.weather_fact(bronze, dates, places), places, dates
 
 
