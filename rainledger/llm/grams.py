@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 CHUNK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -187,3 +188,15 @@ def covered(length: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of ``length`` positions lie in any of the ranges."""
     steps = np.bincount(starts, minlength=length + 1) - np.bincount(ends, minlength=length + 1)
     return np.cumsum(steps[:length]) > 0
+
+
+def slices(batch: pa.RecordBatch, text: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch cut into parts of about ``size`` bytes of text, at least one row each."""
+    lengths = batch.column(text).cast(pa.large_binary() if pa.types.is_large_string(batch.column(text).type) else pa.binary())
+    ends = np.cumsum(pa.compute.binary_length(lengths).fill_null(0).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(first, last - first)
+        first = last

@@ -8,7 +8,7 @@ numbered in a written table, so that a retried task sees the same numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sinks.staging import stage
@@ -16,15 +16,14 @@ from ..sinks.staging import stage
 ROW = "_id"
 
 
-def identified(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``_id``, the key and the text of every row; other columns are left out, so none can clash."""
-    narrow = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
+def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", *others: str) -> DataFrame:
+    """``_id``, the key, the text and the ``others`` of every row; no other column is kept, so none can clash."""
+    narrow = docs.select(F.col(key).cast("long").alias(key), text, *others)
     repeats = narrow.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).limit(1).count()
     if not repeats:
         return narrow.withColumn(ROW, F.col(key))
-    ordered = narrow.repartitionByRange(F.col(key).asc_nulls_last(), F.col(text)).sortWithinPartitions(
-        F.col(key).asc_nulls_last(), F.col(text)
-    )
+    order = [F.col(key).asc_nulls_last(), F.col(text), *others]
+    ordered = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
     return stage(ordered.withColumn(ROW, F.monotonically_increasing_id()), "llm-rows")
 
 
@@ -32,14 +31,3 @@ def partitions(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores in front until no column has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
-def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
