@@ -99,6 +99,10 @@ def chunks(batch: pa.RecordBatch, key: str, text: str, size: int = CHUNK_BYTES)
         first = last
 
 
+def is_separator(data: np.ndarray) -> np.ndarray:
+    return _SEPARATOR[data]
+
+
 def byte_codes(data: np.ndarray, family: int = 0) -> np.ndarray:
     return _CODES[family][data]
 

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, suffix_array, suffix_automaton, topk, word_bpe
+from . import packing, perplexity, sharding, suffix_array, suffix_automaton, topk, word_bpe
 from .rows import ROW, identified
 
 _shipped: set[str] = set()
@@ -82,6 +82,10 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.rate_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +95,7 @@ QUERIES = {
         op4_bpe_round_trip,
         op5_exact_topk,
         op9_suffix_array_dedup,
+        op10_ngram_perplexity,
     )
 }
 ORACLES: dict[str, str] = {}
