@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, perplexity, sharding, suffix_array, suffix_automaton, topk, word_bpe
+from . import packing, parity_join, perplexity, sharding, suffix_array, suffix_automaton, topk, word_bpe
 from .rows import ROW, identified
 
 _shipped: set[str] = set()
@@ -77,6 +77,10 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_partners(read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
 
+def op6_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.similar_components(read(spark, sf_dir, "documents"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_array.remove_repeated_bytes(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -94,6 +98,7 @@ QUERIES = {
         op3_stratified_sharding,
         op4_bpe_round_trip,
         op5_exact_topk,
+        op6_parity_sketch_join,
         op9_suffix_array_dedup,
         op10_ngram_perplexity,
     )
