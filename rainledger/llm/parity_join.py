@@ -13,7 +13,8 @@ agree in empty blocks alone have more than ``spare`` of them, and only such docu
 
 Rows are sorted by block content and read as a stream; the first document of each content meets all others. What is
 verified is linked; where the others of a content still belong to different components, another of them meets
-the rest, and after ``STAR_ROUNDS`` rounds all remaining pairs of different components are verified. So no pair within a group that is already
+the rest (blocks that very many share, such as those of a common line, are left out as far as each document has blocks to
+spare), and after ``STAR_ROUNDS`` rounds all remaining pairs of different components are verified. So no pair within a group that is already
 connected is made, and no connection is lost. Verification compares the whole sets of 64-bit hashes.
 
 Null texts are empty. Rows that repeat an id, or have none, are documents of their own (see ``rows``). Other columns are
@@ -26,15 +27,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sinks.staging import stage
 from . import grams
-from .rows import ROW, identified, partitions
+from .rows import ROW, carried, identified, partitions, restored
 
 SHINGLE = 5
 RATIO, SPARE, STAR_ROUNDS = 1.4, 0.2, 3
+BAND_MASK = 127
 
 
 def _bands(largest: int) -> list[tuple[int, int]]:
@@ -81,12 +83,27 @@ def shingle_sets(chunk: grams.Chunk) -> Iterator[np.ndarray]:
             yield np.zeros(0, dtype=np.uint64)
 
 
+def _blocks(spread: np.ndarray, blocks: int) -> np.ndarray:
+    return ((spread >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+
+
+def spare_blocks(shingles: np.ndarray) -> list[dict[str, int]]:
+    """For each band: how many of the blocks that a set sends can be ignored. Empty ones that it doesn't send are ignored
+    already; where it sends them, they come first."""
+    found = []
+    for band, blocks, spare in blocks_of(len(shingles)):
+        used = len(np.unique(_blocks(grams.mix(shingles, 100 + band), blocks)))
+        unsent = blocks - used if blocks - used <= spare else 0
+        found.append({"band": band, "spare": spare - unsent})
+    return found
+
+
 def block_keys(shingles: np.ndarray) -> np.ndarray:
-    """The contents of a set's blocks, each with its band and number hashed in."""
+    """The contents of a set's blocks, each with its band and number hashed in; the lowest bits tell the band."""
     keys = []
     for band, blocks, spare in blocks_of(len(shingles)):
         spread = grams.mix(shingles, 100 + band)
-        block = ((spread >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+        block = _blocks(spread, blocks)
         order = np.argsort(block)
         used, firsts = np.unique(block[order], return_index=True)
         # One code for each bit (block and low half of the hash): flipped twice, it is gone, as the bit is.
@@ -94,7 +111,8 @@ def block_keys(shingles: np.ndarray) -> np.ndarray:
         empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), used) if blocks - len(used) > spare else used[:0]
         where = np.concatenate([used, empty]) | np.uint64(band << 40)
         contents = np.concatenate([contents, np.zeros(len(empty), dtype=np.uint64)])
-        keys.append(grams.mix(contents ^ grams.mix(where, 2), 3))
+        own = grams.mix(contents ^ grams.mix(where, 2), 3)
+        keys.append((own & ~np.uint64(BAND_MASK)) | np.uint64(band))
     return np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
 
 
@@ -144,13 +162,30 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    spares = pa.list_(pa.struct([("band", pa.int32()), ("spare", pa.int32())]))
     for batch in batches:
         for chunk in grams.chunks(batch, ROW, "text"):
+            found = list(shingle_sets(chunk))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk.ids), pa.array([s.tobytes() for s in shingle_sets(chunk)], pa.binary())], names=["id", "shingles"]
+                [pa.array(chunk.ids), pa.array([s.tobytes() for s in found], pa.binary()), pa.array(map(spare_blocks, found), spares)],
+                names=["id", "shingles", "spares"],
             )
 
 
+def _without_spares(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` (key, member, component) without the most frequent keys of each member, as many as it can spare.
+
+    Linked documents share more blocks than they can spare, so in any one order of all blocks they still share one when
+    each leaves out its last ones: empty blocks, then those that most documents share (a common line, say).
+    """
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_count"))
+    spares = sets.select(F.col("id").alias("member"), F.explode("spares").alias("s")).select("member", F.col("s.band").alias("band"), "s.spare")
+    last = Window.partitionBy("member", "band").orderBy(F.desc("_count"), "key")
+    ranked = rows.join(counts, "key").withColumn("band", F.col("key").bitwiseAND(BAND_MASK).cast("int"))
+    ranked = ranked.join(spares, ["member", "band"]).withColumn("_rank", F.row_number().over(last))
+    return ranked.filter(F.col("_rank") > F.col("spare")).select("key", "member", "component")
+
+
 def _linked(percent: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,10 +218,18 @@ def components(edges: DataFrame, name: str = "llm-components") -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    beside = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
+    whole = sets.select("id", "shingles")
+    beside = pairs.join(whole.toDF("a", "left"), "a").join(whole.toDF("b", "right"), "b")
     return beside.select("a", "b", "left", "right").mapInArrow(_linked(percent), "a long, b long")
 
 
+def _open(rest: DataFrame, found: DataFrame) -> DataFrame:
+    """Of key and member, with its component: the keys that still hold different ones."""
+    own = rest.join(found.toDF("member", "component"), "member", "left").withColumn("component", F.coalesce("component", "member"))
+    mixed = own.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
+    return stage(own.join(mixed.select("key"), "key").distinct(), "llm-open")
+
+
 def similar_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id reachable by links, its own included) of every document.
 
@@ -195,6 +238,13 @@ def similar_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     return _components(identified(docs), percent).select("doc_id", "n_shingles", "component_id")
 
 
+def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component, with all their columns."""
+    rows = carried(docs)
+    firsts = _components(rows, percent).filter("first").select(ROW)
+    return restored(rows.join(firsts, ROW, "left_semi"), docs)
+
+
 def _components(docs: DataFrame, percent: int) -> DataFrame:
     if not 80 <= percent <= 100:
         raise ValueError("the bands are made for a similarity of 0.8 or more")
@@ -217,21 +267,19 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     stars = stage(standing(stars, "lead", "member").filter("lead <> member"), "llm-stars")
     met = stage(stars.select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b")).distinct(), "llm-pairs")
     asked = met.select(F.col("a").alias(ROW)).union(met.select("b")).distinct()
-    sets = stage(docs.join(asked, ROW, "left_semi").mapInArrow(_sets, "id long, shingles binary"), "llm-shingles")
+    sets = stage(docs.join(asked, ROW, "left_semi").mapInArrow(_sets, "id long, shingles binary, spares array<struct<band:int,spare:int>>"), "llm-shingles")
+    sizes = sets.select("id", F.length("shingles"))
     edges = stage(_verified(met, sets, percent), "llm-links")
     found = components(edges)
-    rest = stars.select("key", "member")
+    rest = _without_spares(_open(stars.select("key", "member"), found), sets).select("key", "member")
 
     for round_ in range(1, STAR_ROUNDS + 1):
-        # The members of keys that still hold different components; a leader has met all others and leaves.
-        own = rest.join(found.toDF("member", "component"), "member", "left")
-        own = own.withColumn("component", F.coalesce("component", "member"))
-        open_ = own.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
-        rest = stage(own.join(open_.select("key"), "key").distinct(), "llm-open")
+        rest = _open(rest, found)
         if rest.limit(1).count() == 0:
             break
         if round_ < STAR_ROUNDS:
             order = F.xxhash64("member", F.lit(round_))
+            # A leader meets all others and leaves.
             leads = rest.groupBy("key").agg(F.min(F.struct(order.alias("order"), F.col("member").alias("lead"), F.col("component").alias("of"))).alias("x"))
             leads = leads.select("key", "x.lead", "x.of")
             meeting = rest.join(leads, "key").filter("component <> of").select(F.col("lead").alias("x"), F.col("member").alias("y"))
@@ -240,6 +288,9 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
             other = rest.select("key", "member", "component").toDF("key", "y", "other")
             meeting = rest.join(other, "key").filter("member < y AND component <> other").select(F.col("member").alias("x"), "y")
         fresh = meeting.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        for name in ("a", "b"):
+            fresh = fresh.join(sizes.toDF(name, "n_" + name), name)
+        fresh = fresh.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
         fresh = stage(fresh.join(met, ["a", "b"], "left_anti"), "llm-pairs")
         rest = stage(rest.select("key", "member"), "llm-open")
         met = met.union(fresh)

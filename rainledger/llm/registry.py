@@ -10,8 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, parity_join, perplexity, sharding, suffix_array, suffix_automaton, topk, word_bpe
-from .rows import ROW, identified
+from . import licences, packing, parity_join, perplexity, sharding, suffix_array, suffix_automaton, topk, warc, word_bpe
 
 _shipped: set[str] = set()
 
@@ -81,6 +80,15 @@ def op6_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similar_components(read(spark, sf_dir, "documents"))
 
 
+def op7_licence_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(read(spark, sf_dir, "documents"))
+
+
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derive_records(read(spark, sf_dir, "pages"))
+    return records.withColumn("header_sha256", F.sha2("header", 256)).drop("header", "block")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_array.remove_repeated_bytes(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -99,8 +107,13 @@ QUERIES = {
         op4_bpe_round_trip,
         op5_exact_topk,
         op6_parity_sketch_join,
+        op7_licence_sentence_rules,
+        op8_warc_derivatives,
         op9_suffix_array_dedup,
         op10_ngram_perplexity,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_licence_sentence_rules": licences.sql(),
+    "op8_warc_derivatives": warc.sql(),
+}

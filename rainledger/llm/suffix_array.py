@@ -105,7 +105,7 @@ def remove_repeated_bytes(docs: DataFrame, threshold: int = 100) -> DataFrame:
     if not GRAM < threshold <= GRAM + 256:
         raise ValueError(f"threshold must be in {GRAM + 1}..{GRAM + 256}")
     docs = identified(docs).filter(F.col(ROW).isNotNull())
-    first = repeats.settled_rows(docs, _segments(threshold), threshold, True)
+    first = repeats.settled_rows(docs.select(ROW, "text"), _segments(threshold), threshold, True)
     marks = stage(repeats.sort_and_settle(first, threshold, True), "llm-byte-marks")
     contested = marks.filter("place >= 0").groupBy(ROW).agg(F.collect_list(F.struct("place")).alias("marks"))
     windows = repeats.settled_rows(docs.join(contested, ROW), _contested_windows(threshold), threshold, True)

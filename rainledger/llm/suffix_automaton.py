@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..sinks.staging import stage
 from . import grams, repeats
-from .rows import ROW, identified
+from .rows import ROW, carried, identified, restored
 
 GRAM = 5
 ROUTE_LIMIT = 2000
@@ -214,10 +214,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed.append(int((~stay).sum()))
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], (~stay).astype(np.int8), [0]])))
                 spans.append([{"start": a, "stop": b} for a, b in edges.reshape(-1, 2).tolist()])
+        rest = [batch.column(c) for c in batch.schema.names if c == "_rest"]
         span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(ROW), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()).cast(pa.string())],
-            names=[ROW, "doc_id", "n_words", "n_removed", "spans", "kept"],
+            [batch.column(ROW), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()).cast(pa.string()), *rest],
+            names=[ROW, "doc_id", "n_words", "n_removed", "spans", "kept", *["_rest"][: len(rest)]],
         )
 
 
@@ -230,11 +231,16 @@ def remove_repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
     return _removed(identified(docs), window).drop(ROW)
 
 
+def cut_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
+    """The rows of ``docs`` with all their columns; in ``text`` only the kept words, joined by one space."""
+    return restored(_removed(carried(docs), window), docs, "kept")
+
+
 def _removed(docs: DataFrame, window: int) -> DataFrame:
     if not GRAM < window <= GRAM + 200:
         raise ValueError(f"window must be in {GRAM + 1}..{GRAM + 200}")
-    docs = docs.select(ROW, "doc_id", "text").filter(F.col(ROW).isNotNull())
-    first = repeats.settled_rows(docs, _segments(window), window, False)
+    docs = docs.filter(F.col(ROW).isNotNull())
+    first = repeats.settled_rows(docs.select(ROW, "text"), _segments(window), window, False)
     marks = stage(repeats.sort_and_settle(first, window, False), "llm-word-marks")
     contested = marks.filter("place >= 0").select(ROW, "name", "place")
     crowded = contested.groupBy("name").count().filter(F.col("count") > ROUTE_LIMIT).select("name")
@@ -252,7 +258,7 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
     windows = repeats.settled_rows(docs.join(hot, ROW), _windows(window), window, False)
     late = repeats.sort_and_settle(windows, window, False).filter("place < 0").select(ROW, "start", "stop")
     ranges = marks.filter("place < 0").select(ROW, "start", "stop").union(streamed).union(late)
-    return repeats.with_ranges(docs, ranges).mapInArrow(
-        _remove,
-        f"{ROW} long, doc_id long, n_words long, n_removed long, spans array<struct<start:long,stop:long>>, kept string",
-    )
+    schema = f"{ROW} long, doc_id long, n_words long, n_removed long, spans array<struct<start:long,stop:long>>, kept string"
+    if "_rest" in docs.columns:
+        schema += f", _rest {docs.schema['_rest'].dataType.simpleString()}"
+    return repeats.with_ranges(docs, ranges).mapInArrow(_remove, schema)
