@@ -15,7 +15,8 @@ Rows are sorted by block content and read as a stream; the first document of eac
 verified is linked; where the others of a content still belong to different components, another of them meets
 the rest (blocks that very many share, such as those of a common line, are left out as far as each document has blocks to
 spare), and after ``STAR_ROUNDS`` rounds all remaining pairs of different components are verified. So no pair within a group that is already
-connected is made, and no connection is lost. Verification compares the whole sets of 64-bit hashes.
+connected is made, and no connection is lost. Pairs whose whole sketches of ``SKETCH_BITS`` bits differ too much are ruled out;
+verification compares the whole sets of 64-bit hashes.
 
 Null texts are empty. Rows that repeat an id, or have none, are documents of their own (see ``rows``). Other columns are
 ignored. An empty table gives no rows.
@@ -36,7 +37,7 @@ from .rows import ROW, carried, identified, partitions, restored
 
 SHINGLE = 5
 RATIO, SPARE, STAR_ROUNDS = 1.4, 0.2, 3
-BAND_MASK = 127
+BAND_MASK, SKETCH_BITS = 127, 1024
 
 
 def _bands(largest: int) -> list[tuple[int, int]]:
@@ -116,14 +117,25 @@ def block_keys(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
 
 
+def bit_sketch(shingles: np.ndarray) -> bytes:
+    """The parity of the shingles hashed to each of ``SKETCH_BITS`` bits."""
+    counts = np.bincount((grams.mix(shingles, 50) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    spares = pa.list_(pa.struct([("band", pa.int32()), ("spare", pa.int32())]))
     for batch in batches:
         rows = []
         for chunk in grams.chunks(batch, ROW, "text"):
             for s in shingle_sets(chunk):
-                rows.append((len(s), *(int(grams.mix(s, salt).sum(dtype=np.uint64).view(np.int64)) for salt in (41, 42))))
-        columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
-        yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), *columns], names=[ROW, "doc_id", "n", "d1", "d2"])
+                sums = (int(grams.mix(s, salt).sum(dtype=np.uint64).view(np.int64)) for salt in (41, 42))
+                rows.append((len(s), *sums, bit_sketch(s), spare_blocks(s)))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), spares]
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(ROW), batch.column("doc_id"), *columns], names=[ROW, "doc_id", "n", "d1", "d2", "sketch", "spares"]
+        )
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,42 +156,63 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key: the first document of each key beside every other one."""
-    key, lead = None, None
+    """From rows sorted by key: the first document of each key beside every other one.
+
+    ``open``: the key has a third document or more, so its others have yet to meet; its second one comes twice.
+    """
+    key = lead = last = None
+    seen = 0  # documents of the open key so far
     for batch in batches:
         keys, ids = (batch.column(c).to_numpy() for c in ("key", ROW))
+        if not len(keys):
+            continue
         fresh = np.ones(len(keys), dtype=bool)
         fresh[1:] = keys[1:] != keys[:-1]
-        fresh[:1] = key is None or keys[:1] != key
-        leads = np.maximum.accumulate(np.where(fresh, np.arange(len(keys)), -1))
-        leaders = np.where(leads >= 0, ids[leads], 0 if lead is None else lead)
-        if len(keys):
-            key, lead = keys[-1], leaders[-1]
-        others = ~fresh
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c[others]) for c in (keys, leaders, ids)], names=["key", "lead", "member"]
-        )
+        fresh[0] = key is None or keys[0] != key
+        place = np.arange(len(keys))
+        heads = np.maximum.accumulate(np.where(fresh, place, -1))
+        leaders = np.where(heads >= 0, ids[heads], 0 if lead is None else lead)
+        nth = place - heads + np.where(heads >= 0, 0, seen - 1)
+        before = np.concatenate([[0 if last is None else last], ids[:-1]])
+        key, lead, last, seen = keys[-1], leaders[-1], ids[-1], nth[-1] + 1
+        others, third = ~fresh, nth == 2
+        columns = [np.concatenate([c[others], d[third]]) for c, d in ((keys, keys), (leaders, leaders), (ids, before))]
+        open_ = np.concatenate([nth[others] >= 2, np.ones(int(third.sum()), dtype=bool)])
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(open_)], names=["key", "lead", "member", "open"])
+
+
+def _near(percent: int):
+    """Pairs whose sketches don't already show too many differing shingles."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(n, -1) for c in ("x", "y"))
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * differ <= (100 - percent) * both))
+
+    return read
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    spares = pa.list_(pa.struct([("band", pa.int32()), ("spare", pa.int32())]))
     for batch in batches:
         for chunk in grams.chunks(batch, ROW, "text"):
-            found = list(shingle_sets(chunk))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk.ids), pa.array([s.tobytes() for s in found], pa.binary()), pa.array(map(spare_blocks, found), spares)],
-                names=["id", "shingles", "spares"],
+                [pa.array(chunk.ids), pa.array([s.tobytes() for s in shingle_sets(chunk)], pa.binary())], names=["id", "shingles"]
             )
 
 
-def _without_spares(rows: DataFrame, sets: DataFrame) -> DataFrame:
+def _without_spares(rows: DataFrame, sums: DataFrame) -> DataFrame:
     """``rows`` (key, member, component) without the most frequent keys of each member, as many as it can spare.
 
     Linked documents share more blocks than they can spare, so in any one order of all blocks they still share one when
     each leaves out its last ones: empty blocks, then those that most documents share (a common line, say).
     """
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_count"))
-    spares = sets.select(F.col("id").alias("member"), F.explode("spares").alias("s")).select("member", F.col("s.band").alias("band"), "s.spare")
+    spares = sums.select(F.col(ROW).alias("member"), F.explode("spares").alias("s")).select("member", F.col("s.band").alias("band"), "s.spare")
     last = Window.partitionBy("member", "band").orderBy(F.desc("_count"), "key")
     ranked = rows.join(counts, "key").withColumn("band", F.col("key").bitwiseAND(BAND_MASK).cast("int"))
     ranked = ranked.join(spares, ["member", "band"]).withColumn("_rank", F.row_number().over(last))
@@ -218,8 +251,7 @@ def components(edges: DataFrame, name: str = "llm-components") -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    whole = sets.select("id", "shingles")
-    beside = pairs.join(whole.toDF("a", "left"), "a").join(whole.toDF("b", "right"), "b")
+    beside = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     return beside.select("a", "b", "left", "right").mapInArrow(_linked(percent), "a long, b long")
 
 
@@ -249,7 +281,8 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     if not 80 <= percent <= 100:
         raise ValueError("the bands are made for a similarity of 0.8 or more")
     docs = docs.select(ROW, "doc_id", "text").filter(F.col(ROW).isNotNull())
-    sums = stage(docs.mapInArrow(_summaries, f"{ROW} long, doc_id long, n long, d1 long, d2 long"), "llm-sets")
+    kinds = f"{ROW} long, doc_id long, n long, d1 long, d2 long, sketch binary, spares array<struct<band:int,spare:int>>"
+    sums = stage(docs.mapInArrow(_summaries, kinds), "llm-sets")
     classes = sums.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min(ROW).alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = stage(classes, "llm-classes")
     copies = sums.join(classes.filter("copies > 1"), ["n", "d1", "d2"]).filter(F.col(ROW) != F.col("rep"))
@@ -262,16 +295,23 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
             rows = found.withColumn(name, F.coalesce("_rep", name)).drop("_rep")
         return rows
 
+    def pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
+        """Different pairs of ``rows`` that sizes and sketches allow to be linked."""
+        known = sums.select(ROW, "n", "sketch")
+        both = rows.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+        both = both.join(known.toDF("a", "n_a", "x"), "a").join(known.toDF("b", "n_b", "y"), "b")
+        both = both.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        return both.mapInArrow(_near(percent), "a long, b long")
+
     dealt = docs.mapInArrow(_keys, f"key long, {ROW} long").repartition(partitions(docs), "key").sortWithinPartitions("key", ROW)
-    stars = stage(dealt.mapInArrow(_stars, "key long, lead long, member long"), "llm-stars")
-    stars = stage(standing(stars, "lead", "member").filter("lead <> member"), "llm-stars")
-    met = stage(stars.select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b")).distinct(), "llm-pairs")
-    asked = met.select(F.col("a").alias(ROW)).union(met.select("b")).distinct()
-    sets = stage(docs.join(asked, ROW, "left_semi").mapInArrow(_sets, "id long, shingles binary, spares array<struct<band:int,spare:int>>"), "llm-shingles")
-    sizes = sets.select("id", F.length("shingles"))
+    stars = stage(dealt.mapInArrow(_stars, "key long, lead long, member long, open boolean"), "llm-stars")
+    met = stage(pairs(standing(stars.select("lead", "member").distinct(), "lead", "member"), "lead", "member"), "llm-pairs")
+    rest = stage(standing(stars.filter("open").select("key", "member"), "member").distinct(), "llm-open")
+    asked = met.select(F.col("a").alias(ROW)).union(met.select("b")).union(rest.select("member")).distinct()
+    sets = stage(docs.join(asked, ROW, "left_semi").mapInArrow(_sets, "id long, shingles binary"), "llm-shingles")
     edges = stage(_verified(met, sets, percent), "llm-links")
     found = components(edges)
-    rest = _without_spares(_open(stars.select("key", "member"), found), sets).select("key", "member")
+    rest = _without_spares(_open(rest, found), sums).select("key", "member")
 
     for round_ in range(1, STAR_ROUNDS + 1):
         rest = _open(rest, found)
@@ -287,13 +327,9 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
         else:
             other = rest.select("key", "member", "component").toDF("key", "y", "other")
             meeting = rest.join(other, "key").filter("member < y AND component <> other").select(F.col("member").alias("x"), "y")
-        fresh = meeting.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        for name in ("a", "b"):
-            fresh = fresh.join(sizes.toDF(name, "n_" + name), name)
-        fresh = fresh.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
-        fresh = stage(fresh.join(met, ["a", "b"], "left_anti"), "llm-pairs")
+        fresh = stage(pairs(meeting, "x", "y").join(met, ["a", "b"], "left_anti"), "llm-pairs")
         rest = stage(rest.select("key", "member"), "llm-open")
-        met = met.union(fresh)
+        met = met.union(fresh)  # pairs that the sketches rule out may be met, and ruled out, again
         more = stage(_verified(fresh, sets, percent), "llm-links")
         if more.limit(1).count():
             edges = edges.union(more)
