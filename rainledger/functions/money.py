@@ -5,28 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+#: Scale of a total that is divided: wide enough for sums of line totals, and leaves 18 decimals to the quotient.
+TOTAL = "decimal(28,8)"
 
 
 def line_amount(total: Column, quantity: Column, price: Column, discount: Column) -> Column:
-    """The stored line total, else quantity x price less discount (no discount when NULL)."""
-    rebate = F.coalesce(discount.cast("decimal(5,4)"), F.lit(0).cast("decimal(5,4)"))
-    net_price = price.cast("decimal(14,4)") * (F.lit(1).cast("decimal(1,0)") - rebate)
-    computed = quantity.cast("decimal(10,0)") * net_price
-    return F.coalesce(total.cast(MONEY), computed.cast(MONEY))
+    """The stored line total, else quantity x price less discount (no discount when NULL).
+
+    Every value keeps the scale of its source, and the product its exact scale: nothing is rounded here.
+    """
+    rebate = F.coalesce(discount, F.lit(0).cast("decimal(1,0)"))
+    return F.coalesce(total, price * (F.lit(1).cast("decimal(1,0)") - rebate) * quantity)
 
 
 def rounded_mean(total: Column, count: Column, scale: int = 2) -> Column:
-    """``total / count`` rounded half up, from an exact decimal total."""
-    return F.round(total / F.nullif(count, F.lit(0)), scale)
+    """``total / count`` rounded half up once, from an exact decimal total."""
+    return F.round(total.cast(TOTAL) / F.nullif(count, F.lit(0)), scale)
 
 
-def exact_mean(value: Column, precision: int, scale: int) -> Column:
+def exact_mean(value: Column) -> Column:
     """AVG as DOUBLE from an exact decimal sum: one rounding, whatever the row order.
 
-    Values are taken to ``scale`` decimals. Up to precision 8 Spark sums plain longs.
+    The sum holds 14 digits before and 12 after the point; a larger value raises an error.
     """
-    total = F.sum(value.cast(f"decimal({precision},{scale})")).cast("double")
+    total = F.sum(value.cast("decimal(26,12)")).cast("double")
     return total / F.nullif(F.count(value), F.lit(0))
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import MONEY, cell_code, display_name, full_days_between, ladder, line_amount, rounded_mean
+from ..functions import cell_code, display_name, full_days_between, ladder, line_amount, rounded_mean
 from ..operators.joins import broadcast_if_small
 from ..operators.ranking import Tile, global_ntile, keep_first
 from ..sinks.staging import stage
@@ -83,8 +83,12 @@ PRESETS = {
 }
 
 
-def _order_sums(detail: DataFrame, amount) -> DataFrame:
-    """Amount and line count per order, summed before any join: one row per order to shuffle."""
+def _order_sums(detail: DataFrame, wanted: DataFrame, amount: Column) -> DataFrame:
+    """Amount and line count of the wanted orders, summed before any wide join.
+
+    Lines of other orders leave by a semi join on the key of the sum, so they are neither summed nor shuffled again.
+    """
+    detail = detail.join(wanted.select("SalesOrderID"), "SalesOrderID", "left_semi")
     return detail.groupBy("SalesOrderID").agg(F.sum(amount).alias("OrderAmount"), F.count("*").alias("LineCount"))
 
 
@@ -92,13 +96,13 @@ def customer_orders(header: DataFrame, detail: DataFrame, territory: DataFrame)
     """Completed orders with their amount; grain: order."""
     amount = line_amount(F.col("LineTotal"), F.col("OrderQty"), F.col("UnitPrice"), F.col("UnitPriceDiscount"))
     keys = ["SalesOrderID", "CustomerID", "OrderDate", "TerritoryID", "TerritoryName", "CountryRegionCode"]
+    wanted = completed(header)
     return (
-        completed(header)
-        .withColumn("OrderDate", F.col("OrderDate").cast("date"))
-        .join(_order_sums(detail, amount), "SalesOrderID")
+        wanted.withColumn("OrderDate", F.col("OrderDate").cast("date"))
+        .join(_order_sums(detail, wanted, amount), "SalesOrderID")
         .join(territory_names(territory), "TerritoryID")
         .groupBy(*keys)
-        .agg(F.sum("OrderAmount").cast("decimal(28,4)").alias("OrderAmount"), F.sum("LineCount").alias("LineCount"))
+        .agg(F.sum("OrderAmount").alias("OrderAmount"), F.sum("LineCount").alias("LineCount"))
     )
 
 
@@ -134,17 +138,21 @@ def territories(territory: DataFrame) -> DataFrame:
     return keep_first(renamed, ["TerritoryID"])
 
 
-def rfm_raw(orders: DataFrame, people: DataFrame, places: DataFrame, as_of: str) -> DataFrame:
+def rfm_raw(
+    orders: DataFrame, people: DataFrame, places: DataFrame, as_of: str, *, unique_orders: bool = False
+) -> DataFrame:
     """Unscored measures as of a date; grain: customer.
 
-    The territory is that of the latest order (the higher order number on one day).
+    The territory is that of the latest order (the higher order number on one day). Where each order is known to be
+    one row, ``unique_orders`` counts them in the same map-side sums, without a distinct count.
     """
+    frequency = F.count("SalesOrderID") if unique_orders else F.count_distinct("SalesOrderID")
     latest = F.when(F.col("TerritoryID").isNotNull(), F.struct("OrderDate", "SalesOrderID"))
     measured = orders.groupBy("CustomerID").agg(
         F.min("OrderDate").alias("FirstPurchaseDate"),
         F.max("OrderDate").alias("LastPurchaseDate"),
-        F.count_distinct("SalesOrderID").alias("Frequency"),
-        F.sum("OrderAmount").cast("decimal(28,4)").alias("_monetary"),
+        frequency.alias("Frequency"),
+        F.sum("OrderAmount").alias("_monetary"),
         F.max_by("TerritoryID", latest).alias("TerritoryID"),
     )
     day = F.lit(as_of).cast("date")
@@ -210,10 +218,9 @@ def rfm_v1_staging(
     """
     wanted = territory_names(territory.where(F.col("Name").isin(list(names)))).drop("CountryRegionCode")
     people = _with_person(customer.select("CustomerID", "PersonID"), person, ["FirstName", "LastName"])
+    orders = header.select("SalesOrderID", "CustomerID", "OrderDate", "TerritoryID").join(wanted, "TerritoryID")
     return (
-        header.select("SalesOrderID", "CustomerID", "OrderDate", "TerritoryID")
-        .join(wanted, "TerritoryID")
-        .join(_order_sums(detail, F.col("LineTotal").cast(MONEY)), "SalesOrderID")
+        orders.join(_order_sums(detail, orders, F.col("LineTotal")), "SalesOrderID")
         .join(people.select("CustomerID", "FirstName", "LastName"), "CustomerID")
         .select(
             "SalesOrderID",

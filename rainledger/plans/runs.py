@@ -69,7 +69,7 @@ def run_rfm(spark: SparkSession, landing: str, store: str, as_of: str) -> dict[s
     assert_not_all_null(orders, "OrderAmount", "customer_orders")
     people = write_table(rfm.customers(raw["customer"], raw["person"]), store, "silver", "customers")
     places = write_table(rfm.territories(raw["sales_territory"]), store, "silver", "territories")
-    measured = write_table(rfm.rfm_raw(orders, people, places, as_of), store, "silver", "customer_rfm")
+    measured = write_table(rfm.rfm_raw(orders, people, places, as_of, unique_orders=True), store, "silver", "customer_rfm")
     assert_unique(measured, ["CustomerID"], "customer_rfm")
     with staging_scope(spark):
         fact = write_table(rfm.rfm_fact(measured, as_of), store, "gold", "fact_customer_rfm")
@@ -144,9 +144,15 @@ def run_rfm_v1(
 
 
 def run_weather(
-    spark: SparkSession, landing: str, store: str, as_of: str, datasets: Sequence[str] = DATASETS
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    as_of: str,
+    datasets: Sequence[str] = DATASETS,
+    required: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    records = read_landing_json(spark, landing, as_of, datasets)
+    """Fails when a ``required`` data set has not landed; another that is missing is logged."""
+    records = read_landing_json(spark, landing, as_of, datasets, required)
     return weather_tables(records, store)
 
 

@@ -1,6 +1,7 @@
 """Sales performance: revenue, quantity and margin by product and territory.
 
-Money stays DECIMAL from the order line to the fact, so totals are exact and repeatable.
+Money keeps the scale of its source from the order line to the fact and is rounded once, in the last
+projection, so totals are exact and repeatable.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import MONEY, margin_percent, rounded_mean
+from ..functions import margin_percent, rounded_mean
 from ..operators.joins import broadcast_if_small
 from ..sinks.tables import with_audit
 
@@ -114,8 +115,8 @@ def order_lines(
             "OrderDate",
             "ProductID",
             F.col("OrderQty").cast("int").alias("OrderQty"),
-            F.col("UnitPrice").cast(MONEY).alias("UnitPrice"),
-            F.col("LineTotal").cast(MONEY).alias("LineTotal"),
+            "UnitPrice",
+            "LineTotal",
             *SALE_KEYS,
         )
     )
@@ -133,8 +134,8 @@ def products(product: DataFrame, subcategory: DataFrame, category: DataFrame) ->
             "ProductID",
             F.col("Name").alias("ProductName"),
             "ProductNumber",
-            F.col("ListPrice").cast("decimal(10,2)").alias("ListPrice"),
-            F.col("StandardCost").cast("decimal(10,2)").alias("StandardCost"),
+            "ListPrice",
+            "StandardCost",
             F.coalesce("_category", F.lit("N/A")).alias("Category"),
             F.coalesce("_subcategory", F.lit("N/A")).alias("Subcategory"),
         )
@@ -164,7 +165,7 @@ def sales_summary(lines: DataFrame, catalog: DataFrame, *, guard: bool = True) -
         {
             "TotalRevenue": F.round("_revenue", 2),
             "TotalQty": F.col("_quantity"),
-            "AvgUnitPrice": rounded_mean(F.col("_prices").cast("decimal(28,4)"), F.col("_priced")),
+            "AvgUnitPrice": rounded_mean(F.col("_prices"), F.col("_priced")),
             "Margin": F.round(price - cost, 2),
             "MarginPct": margin_percent(price, cost, guard=guard),
         }
@@ -183,6 +184,6 @@ def category_summary(sales: DataFrame, *, with_mean: bool = True) -> DataFrame:
         F.count("*").alias("total_transaksi"), F.sum(price).alias("total_omzet"), F.count(price).alias("_priced")
     )
     if with_mean:
-        mean = rounded_mean(F.col("total_omzet").cast("decimal(20,0)"), F.col("_priced"), 0)
+        mean = rounded_mean(F.col("total_omzet"), F.col("_priced"), 0)
         totals = totals.withColumn("avg_harga", mean.cast("double"))
     return totals.drop("_priced").orderBy(F.col("total_omzet").desc_nulls_last(), "category")

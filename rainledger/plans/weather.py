@@ -207,14 +207,12 @@ def _star(fact: DataFrame, places: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def gold_drought(drought: DataFrame, places: DataFrame, dates: DataFrame) -> DataFrame:
-    return (
-        _star(drought, places, dates)
-        .groupBy("full_date", "province", "location_name")
-        .agg(
-            F.avg("drought_risk_score").alias("avg_drought_risk"),
-            F.max("drought_risk_score").alias("peak_drought_risk"),
-        )
+    """Scores are summed by the facts' own keys, before the names are joined; location names are unique."""
+    daily = drought.groupBy("location_key", "date_key").agg(
+        F.avg("drought_risk_score").alias("avg_drought_risk"), F.max("drought_risk_score").alias("peak_drought_risk")
     )
+    columns = ["full_date", "province", "location_name", "avg_drought_risk", "peak_drought_risk"]
+    return _star(daily, places, dates).select(*columns)
 
 
 def gold_trend(weather: DataFrame, places: DataFrame, dates: DataFrame) -> DataFrame:
@@ -223,21 +221,17 @@ def gold_trend(weather: DataFrame, places: DataFrame, dates: DataFrame) -> DataF
 
 def _trend(star: DataFrame) -> DataFrame:
     return star.groupBy("full_date", "province").agg(
-        exact_mean(F.col("precipitation_sum_mm"), 18, 4).alias("avg_rainfall_mm"),
-        exact_mean(F.col("temperature_2m_mean_c"), 8, 4).alias("avg_temperature_c"),
+        exact_mean(F.col("precipitation_sum_mm")).alias("avg_rainfall_mm"),
+        exact_mean(F.col("temperature_2m_mean_c")).alias("avg_temperature_c"),
     )
 
 
 def gold_fire(fire: DataFrame, places: DataFrame, dates: DataFrame) -> DataFrame:
-    return (
-        _star(fire.drop("peatland_flag"), places, dates)
-        .withColumnRenamed("_peatland", "peatland_flag")
-        .groupBy("full_date", "province", "location_name", "peatland_flag")
-        .agg(
-            exact_mean(F.col("fire_risk_score"), 5, 1).alias("avg_fire_risk"),
-            F.max("fire_risk_score").alias("peak_fire_risk"),
-        )
+    daily = fire.groupBy("location_key", "date_key").agg(
+        exact_mean(F.col("fire_risk_score")).alias("avg_fire_risk"), F.max("fire_risk_score").alias("peak_fire_risk")
     )
+    columns = ["full_date", "province", "location_name", "peatland_flag", "avg_fire_risk", "peak_fire_risk"]
+    return _star(daily, places, dates).withColumnRenamed("_peatland", "peatland_flag").select(*columns)
 
 
 def gold_mitigation(fact: DataFrame, places: DataFrame, dates: DataFrame) -> DataFrame:

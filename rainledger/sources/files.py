@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -15,6 +16,8 @@ from ..operators.quality import QualityError, assert_not_empty
 from ..sinks.partitions import partition_path
 from .payload import RECORD_SCHEMA
 
+log = logging.getLogger(__name__)
+
 
 def read_partition(spark: SparkSession, root: str, folder: str, as_of: str) -> DataFrame:
     """One day of a landed table; lists that day's folder only, and fails when it is missing."""
@@ -22,8 +25,12 @@ def read_partition(spark: SparkSession, root: str, folder: str, as_of: str) -> D
 
 
 def read_folder(spark: SparkSession, path: str) -> DataFrame:
-    """Every Parquet file below a path, at any depth."""
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
+    """Every Parquet file below a path, at any depth, with the columns of all files.
+
+    A column that a file lacks is NULL there; one column of unlike types raises.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return reader.option("mergeSchema", True).parquet(path)
 
 
 def assert_readable(spark: SparkSession, root: str, folders: Iterable[str], as_of: str) -> dict[str, int]:
@@ -43,11 +50,14 @@ def assert_readable(spark: SparkSession, root: str, folders: Iterable[str], as_o
     return dict(zip(names, counts))
 
 
-def read_landing_json(spark: SparkSession, root: str, as_of: str, datasets: Sequence[str]) -> DataFrame:
+def read_landing_json(
+    spark: SparkSession, root: str, as_of: str, datasets: Sequence[str], required: Sequence[str] = ()
+) -> DataFrame:
     """All landed records of one ingestion date with ``ts``, the time stamp of their file.
 
     A line may hold one record or an array of records. Only folders of that date are listed.
-    Raises when the day has no record.
+    Raises when the day has no record, or nothing of a ``required`` data set; another one that is missing is
+    logged. A line that is not whole JSON (broken, or a piece of an indented array) ends the job.
     """
     parts = []
     for dataset in datasets:
@@ -61,13 +71,18 @@ def read_landing_json(spark: SparkSession, root: str, as_of: str, datasets: Sequ
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            if dataset in required:
+                raise QualityError(f"no landed files of {dataset} for ingestion_date={as_of}") from error
+            log.warning("no landed files of %s for ingestion_date=%s", dataset, as_of)
             continue
         parts.append(lines.select("value", F.col("_metadata.file_path").alias("path")))
     if not parts:
         raise QualityError(f"no landed files for ingestion_date={as_of}")
-    records = reduce(DataFrame.unionAll, parts).select(
+    whole = F.from_json("value", T.ArrayType(RECORD_SCHEMA), {"mode": "FAILFAST"})
+    unread = F.raise_error(F.concat(F.lit("no JSON record in a line of "), F.col("path")))
+    records = reduce(DataFrame.unionAll, parts).where(F.trim("value") != "").select(
         F.regexp_extract("path", r"(\d{8}T\d{6})[^/]*(?:/[^/]+)?$", 1).alias("ts"),
-        F.inline(F.from_json("value", T.ArrayType(RECORD_SCHEMA))),
+        F.inline(F.coalesce(whole, unread.cast(T.ArrayType(RECORD_SCHEMA)))),
     )
     assert_not_empty(records, f"landed records for ingestion_date={as_of}")
     return records

@@ -8,6 +8,10 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows a connection holds at a time, on every path.
+FETCH_ROWS = "10000"
+
+
 def _mark(url: str) -> str:
     """The database's quotation mark for names."""
     return "`" if url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else '"'
@@ -42,7 +46,7 @@ def jdbc_options(
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, Any]:
     """Options of a scan; with a numeric or date ``key`` it is read in ``slices`` equal ranges."""
-    options = {"url": url, "dbtable": quoted(url, schema, table), "fetchsize": "10000", **(extra or {})}
+    options = {"url": url, "dbtable": quoted(url, schema, table), "fetchsize": FETCH_ROWS, **(extra or {})}
     if key is not None and slices > 1:
         if lowest is None or highest is None:
             raise ValueError("a sliced scan needs the lowest and the highest key")
@@ -81,7 +85,7 @@ def read_jdbc(
     """
     if key is not None and bounds:
         predicates = split_predicates(key, bounds, _mark(url))
-        return spark.read.jdbc(url, quoted(url, schema, table), predicates=predicates, properties=dict(extra))
+        return spark.read.jdbc(url, quoted(url, schema, table), predicates=predicates, properties={"fetchsize": FETCH_ROWS, **extra})
     lowest = highest = None
     if key is not None and slices > 1:
         lowest, highest = key_range(spark, url, schema, table, key, **extra)
@@ -91,9 +95,17 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def jdbc_reader(spark: SparkSession, url: str, slices: int = 1, **extra: str) -> Callable[[Any], DataFrame]:
-    """The reader an ingest calls per table: each scan is sliced by the key in its spec."""
-    return lambda spec: read_jdbc(spark, url, spec.schema, spec.table, key=spec.key, slices=slices, **extra)
+def jdbc_reader(
+    spark: SparkSession, url: str, slices: int, bounds: Mapping[str, Sequence[int]] | None = None, **extra: str
+) -> Callable[[Any], DataFrame]:
+    """The reader an ingest calls per table: each scan is sliced by the key in its spec.
+
+    ``bounds`` gives a table's own cuts where its keys are unevenly spread.
+    """
+    cuts = bounds or {}
+    return lambda spec: read_jdbc(
+        spark, url, spec.schema, spec.table, key=spec.key, slices=slices, bounds=cuts.get(spec.table, ()), **extra
+    )
 
 
 def count_jdbc(spark: SparkSession, url: str, schema: str, table: str, **extra: str) -> DataFrame:

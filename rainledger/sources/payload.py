@@ -43,13 +43,28 @@ def payloads_without_days(raw: DataFrame) -> DataFrame:
     return raw.where(F.coalesce(F.size(days), F.lit(0)) <= 0).select("dataset", "location_key")
 
 
+def payload_profile(raw: DataFrame) -> DataFrame:
+    """Per payload: its days, the variables it lacks, and those with another number of values than days."""
+    daily = F.from_json("body", PAYLOAD_SCHEMA)["daily"]
+    days = F.coalesce(F.size(daily["time"]), F.lit(0))
+    sizes = [F.size(daily[v]) for v in DAILY_VARIABLES]
+    counted = lambda tests: sum((t.cast("int") for t in tests), F.lit(0))
+    return raw.select(
+        "dataset",
+        "location_key",
+        F.greatest(days, F.lit(0)).alias("days"),
+        counted([F.coalesce(s, F.lit(-1)) < 0 for s in sizes]).alias("absent"),
+        counted([F.coalesce((s >= 0) & (s != days), F.lit(False)) for s in sizes]).alias("uneven"),
+    )
+
+
 def flatten_daily_payload(raw: DataFrame, places: DataFrame) -> DataFrame:
     """Landed records from ``raw(dataset, location_key, body)`` and the location table.
 
-    A variable that is absent or shorter than ``time`` gives NULL; a payload without days gives
-    no rows. Locations are joined while there is still one row per payload.
+    A variable that is absent or shorter than ``time`` gives NULL (see ``payload_profile``); a payload without
+    days gives no rows; a body that is not JSON ends the job. Locations are joined while there is still one row per payload.
     """
-    body = F.from_json("body", PAYLOAD_SCHEMA)["daily"].alias("daily")
+    body = F.from_json("body", PAYLOAD_SCHEMA, {"mode": "FAILFAST"})["daily"].alias("daily")
     located = raw.select("dataset", "location_key", body).join(places, "location_key")
     days = F.coalesce(F.col("daily.time"), F.array().cast("array<string>"))
     series = [

@@ -57,8 +57,8 @@ def detail(spark: SparkSession, sf_dir: str, *, with_gaps: bool = False) -> Data
     """``with_gaps`` leaves every third line total NULL, for the fallback amount."""
     price = F.col("l_extendedprice").cast("decimal(8,2)")
     discount = F.col("l_discount").cast("decimal(3,2)")
-    # At most 17 digits, so Spark multiplies plain longs.
-    total = price * F.col("l_quantity").cast("decimal(3,0)") * (F.lit(1).cast("decimal(1,0)") - discount)
+    one = F.lit(1).cast("decimal(1,0)")
+    total = price * F.col("l_quantity").cast("decimal(3,0)") * (one - discount) * (one + F.col("l_tax").cast("decimal(3,2)"))
     if with_gaps:
         total = F.when(F.col("l_linenumber") % 3 != 0, total)
     return table(spark, sf_dir, "lineitem").select(
@@ -68,7 +68,7 @@ def detail(spark: SparkSession, sf_dir: str, *, with_gaps: bool = False) -> Data
         F.col("l_quantity").cast("int").alias("OrderQty"),
         price.alias("UnitPrice"),
         F.when(F.col("l_linenumber") != 6, discount).alias("UnitPriceDiscount"),
-        total.cast("decimal(18,4)").alias("LineTotal"),
+        total.cast("decimal(28,6)").alias("LineTotal"),
     )
 
 
@@ -89,7 +89,7 @@ def product(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("Name"),
         F.col("p_brand").alias("ProductNumber"),
         F.when(size % 10 == 0, F.lit(0).cast("decimal(10,2)")).otherwise(price).alias("ListPrice"),
-        (price - 10 * size).cast("decimal(10,2)").alias("StandardCost"),
+        (price * F.lit("0.61").cast("decimal(2,2)")).cast("decimal(19,4)").alias("StandardCost"),
         F.when(size % 7 != 0, size % 8).alias("ProductSubcategoryID"),
     )
 
@@ -199,7 +199,7 @@ def weather_records(spark: SparkSession, sf_dir: str, places: DataFrame | None =
         )
     )
     month = F.month("day")
-    rain = F.when(month.isin(6, 7, 8, 9), 0.25).when(month.isin(12, 1, 2, 3), 1.0).otherwise(0.5)
+    rain = F.when(month.isin(6, 7, 8, 9), 0.2578125).when(month.isin(12, 1, 2, 3), 1.0).otherwise(0.5)
     values = daily.withColumns(
         {
             "date": F.col("day").cast("string"),

@@ -23,7 +23,7 @@ detail AS (
          CAST(l_extendedprice AS DECIMAL(14,2)) AS price,
          CASE WHEN l_linenumber <> 6 THEN CAST(l_discount AS DECIMAL(4,2)) END AS discount,
          CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_quantity AS INTEGER)
-              * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS total
+              * (1 - CAST(l_discount AS DECIMAL(4,2))) * (1 + CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(28,6)) AS total
   FROM lineitem)"""
 
 TERRITORY = """
@@ -35,7 +35,7 @@ PRODUCTS = """
 catalog AS (
   SELECT p_partkey AS pid, p_name AS pname, p_brand AS pnumber,
          CAST(p_retailprice AS DECIMAL(10,2)) AS price,
-         CAST(CAST(p_retailprice AS DECIMAL(10,2)) - 10 * p_size AS DECIMAL(10,2)) AS cost,
+         CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 0.61 AS DECIMAL(19,4)) AS cost,
          CASE WHEN p_size % 7 = 0 OR p_size % 8 % 4 = 3 THEN 'N/A' ELSE 'Category ' || (p_size % 8 % 4) END AS cat,
          CASE WHEN p_size % 7 = 0 THEN 'N/A' ELSE 'Subcategory ' || (p_size % 8) END AS subcat
   FROM part WHERE p_size % 10 <> 0 AND p_retailprice > 0)"""
@@ -53,7 +53,7 @@ def _mean_cents(cents: str, count: str) -> str:
     return f"CAST((2 * ({cents}) + {count}) // (2 * {count}) AS DOUBLE) / 100"
 
 
-def _summary(line_total: str, where: str = "true") -> str:
+def _summary(line_total: str, where: str = "true", cost: str = "cost", shown_cost: str = "cost") -> str:
     return f"""{SALES},
 sold AS (
   SELECT pid, tid, tname, country, SUM({line_total}) AS revenue, SUM(qty) AS quantity,
@@ -63,9 +63,9 @@ SELECT pid AS ProductID, pname AS ProductName, pnumber AS ProductNumber, cat AS
        tid AS TerritoryID, tname AS TerritoryName, country AS CountryRegionCode,
        CAST(ROUND(revenue, 2) AS DOUBLE) AS TotalRevenue, CAST(quantity AS BIGINT) AS TotalQty,
        {_mean_cents("cents", "n")} AS AvgUnitPrice,
-       CAST(c.price AS DOUBLE) AS ListPrice, CAST(cost AS DOUBLE) AS StandardCost,
-       CAST(c.price - cost AS DOUBLE) AS Margin,
-       {_mean_cents("CAST((c.price - cost) * 1000000 AS BIGINT)", "CAST(c.price * 100 AS BIGINT)")} AS MarginPct"""
+       CAST(c.price AS DOUBLE) AS ListPrice, CAST({shown_cost} AS DOUBLE) AS StandardCost,
+       CAST(ROUND(c.price - {cost}, 2) AS DOUBLE) AS Margin,
+       {_mean_cents(f"CAST((c.price - {cost}) * 1000000 AS BIGINT)", "CAST(c.price * 100 AS BIGINT)")} AS MarginPct"""
 
 
 _FROM_SOLD = " FROM sold JOIN catalog c USING (pid)"
@@ -82,7 +82,7 @@ ORDERS = f"""WITH {HEADER},{DETAIL},{TERRITORY},
 amounts AS (
   SELECT oid, COUNT(*) AS n,
          SUM(CASE WHEN line % 3 <> 0 THEN total
-                  ELSE CAST(qty * price * (1 - COALESCE(discount, 0)) AS DECIMAL(18,4)) END) AS amount
+                  ELSE CAST(qty * price * (1 - COALESCE(discount, 0)) AS DECIMAL(28,6)) END) AS amount
   FROM detail GROUP BY oid),
 corders AS (
   SELECT oid, cid, day, tid, tname, country, amount, n
@@ -106,7 +106,7 @@ raw AS (
          last_order.tid AS TerritoryID, tname AS TerritoryName,
          strftime(first_day, '%Y-%m-%d') AS FirstPurchaseDate, strftime(last_day, '%Y-%m-%d') AS LastPurchaseDate,
          {AS_OF} - last_day AS Recency, frequency AS Frequency, ROUND(monetary, 2) AS cash,
-         CAST((2 * CAST(monetary * 10000 AS HUGEINT) + frequency * 100) // (frequency * 200) AS DOUBLE) / 100
+         CAST((2 * CAST(monetary * 1000000 AS HUGEINT) + frequency * 10000) // (frequency * 20000) AS DOUBLE) / 100
            AS AvgOrderValue,
          last_day - first_day AS TenureDays
   FROM measured JOIN last_order USING (cid) LEFT JOIN people USING (cid) LEFT JOIN territory USING (tid))"""
@@ -165,24 +165,25 @@ places AS (
 FIXED_PLACES = """
 places AS (
   SELECT place, location, province, island, lat::DOUBLE AS latitude, lon::DOUBLE AS longitude,
-         place IN (7, 8, 9) AS peatland_flag
+         peatland_flag
+  -- Fixed values: the library's locations.
   FROM (VALUES
-    (0, 'jakarta', 'DKI Jakarta', 'Java', -6.2088, 106.8456),
-    (1, 'surabaya', 'Jawa Timur', 'Java', -7.2575, 112.7521),
-    (2, 'bandung', 'Jawa Barat', 'Java', -6.9175, 107.6191),
-    (3, 'semarang', 'Jawa Tengah', 'Java', -6.9667, 110.4167),
-    (4, 'yogyakarta', 'DI Yogyakarta', 'Java', -7.7956, 110.3695),
-    (5, 'medan', 'Sumatra Utara', 'Sumatra', 3.5952, 98.6722),
-    (6, 'palembang', 'Sumatra Selatan', 'Sumatra', -2.9909, 104.7560),
-    (7, 'pekanbaru', 'Riau', 'Sumatra', 0.5071, 101.4478),
-    (8, 'palangkaraya', 'Kalimantan Tengah', 'Kalimantan', -2.2096, 113.9200),
-    (9, 'samarinda', 'Kalimantan Timur', 'Kalimantan', -0.5022, 117.1536),
-    (10, 'makassar', 'Sulawesi Selatan', 'Sulawesi', -5.1477, 119.4327),
-    (11, 'manado', 'Sulawesi Utara', 'Sulawesi', 1.4748, 124.8421),
-    (12, 'jayapura', 'Papua', 'Papua', -2.5912, 140.6631),
-    (13, 'kupang', 'Nusa Tenggara Timur', 'Nusa Tenggara', -10.1772, 123.6070),
-    (14, 'mataram', 'Nusa Tenggara Barat', 'Nusa Tenggara', -8.5833, 116.1167)
-  ) AS v(place, location, province, island, lat, lon))"""
+    (0, 'jakarta', 'DKI Jakarta', 'Java', -6.2088, 106.8456, false),
+    (1, 'surabaya', 'Jawa Timur', 'Java', -7.2575, 112.7521, false),
+    (2, 'bandung', 'Jawa Barat', 'Java', -6.9175, 107.6191, false),
+    (3, 'semarang', 'Jawa Tengah', 'Java', -6.9667, 110.4167, false),
+    (4, 'yogyakarta', 'DI Yogyakarta', 'Java', -7.7956, 110.3695, false),
+    (5, 'medan', 'Sumatra Utara', 'Sumatra', 3.5952, 98.6722, false),
+    (6, 'palembang', 'Sumatra Selatan', 'Sumatra', -2.9909, 104.7560, false),
+    (7, 'pekanbaru', 'Riau', 'Sumatra', 0.5071, 101.4478, true),
+    (8, 'palangkaraya', 'Kalimantan Tengah', 'Kalimantan', -2.2096, 113.9200, true),
+    (9, 'samarinda', 'Kalimantan Timur', 'Kalimantan', -0.5022, 117.1536, true),
+    (10, 'makassar', 'Sulawesi Selatan', 'Sulawesi', -5.1477, 119.4327, false),
+    (11, 'manado', 'Sulawesi Utara', 'Sulawesi', 1.4748, 124.8421, false),
+    (12, 'jayapura', 'Papua', 'Papua', -2.5912, 140.6631, false),
+    (13, 'kupang', 'Nusa Tenggara Timur', 'Nusa Tenggara', -10.1772, 123.6070, false),
+    (14, 'mataram', 'Nusa Tenggara Barat', 'Nusa Tenggara', -8.5833, 116.1167, false)
+  ) AS v(place, location, province, island, lat, lon, peatland_flag))"""
 
 
 def _records(places: str, place: str) -> str:
@@ -196,7 +197,7 @@ daily AS (
 records AS (
   SELECT dataset, location, province, island, latitude, longitude, peatland_flag, day,
          28 + most * 0.25::DOUBLE AS tmax, 18 + least * 0.125::DOUBLE AS tmin,
-         tax * CASE WHEN month(day) BETWEEN 6 AND 9 THEN 0.25::DOUBLE WHEN month(day) IN (12, 1, 2, 3) THEN 1.0::DOUBLE
+         tax * CASE WHEN month(day) BETWEEN 6 AND 9 THEN 0.2578125::DOUBLE WHEN month(day) IN (12, 1, 2, 3) THEN 1.0::DOUBLE
                     ELSE 0.5::DOUBLE END AS rain,
          72 - most AS humidity, CAST(5 + 3 * top_discount AS DOUBLE) AS wind,
          1 + 1.25::DOUBLE * top_tax AS evapo, (5 + 3 * top_discount) / 100.0::DOUBLE AS soil
@@ -328,8 +329,12 @@ def _as_integers(sql: str, *columns: str) -> str:
     return f"SELECT * REPLACE ({casts}) FROM ({sql})"
 
 
-def _typed_summary(line_total: str) -> str:
-    return _as_integers(_summary(line_total, "NOT online") + _FROM_SOLD, "TotalQty", "ProductID")
+#: The declared catalog rounds the cost before the margin is taken from it.
+_CENTS = "CAST(cost AS DECIMAL(10,2))"
+
+
+def _typed_summary(line_total: str, cost: str = _CENTS) -> str:
+    return _as_integers(_summary(line_total, "NOT online", cost, _CENTS) + _FROM_SOLD, "TotalQty", "ProductID")
 
 
 ORACLES: dict[str, str] = {
@@ -428,7 +433,20 @@ FROM supplier, (VALUES (1, 100), (2, 250), (3, 75), (4, 300), (5, 150)) AS v(ord
 SELECT oid AS SalesOrderID, cid AS CustomerID, strftime(ordered_at, '%Y-%m-%d %H:%M:%S') AS OrderDate,
        tid AS TerritoryID, status AS Status, online AS OnlineOrderFlag, '2001-08-02' AS dt
 FROM header""",
-    "folder_scan": "SELECT (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM lineitem) AS total_rows",
+    "folder_scan": """SELECT (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM lineitem) AS total_rows,
+       (SELECT COUNT(*) FROM orders) AS customers, (SELECT COUNT(*) FROM lineitem) AS products,
+       'CustomerID,ProductID,SalesOrderID' AS column_names""",
+    "payload_profile": f"""WITH {_records(SUPPLIER_PLACES, 'l_suppkey')}
+SELECT dataset, location AS location_key, CAST(COUNT(*) AS INTEGER) AS days,
+       CAST(CASE dataset WHEN 'forecast' THEN 1 ELSE 0 END AS INTEGER) AS absent, CAST(0 AS INTEGER) AS uneven
+FROM records GROUP BY dataset, location""",
+    "declared_types": """
+SELECT * FROM (VALUES ('stg_sales_orders', 'LineTotal', 'decimal(12,2)'), ('stg_sales_orders', 'UnitPrice', 'decimal(10,2)'),
+  ('stg_sales_orders', 'OrderQty', 'smallint'), ('stg_sales_orders', 'OrderDate', 'date'),
+  ('stg_products', 'ListPrice', 'decimal(10,2)'), ('stg_products', 'StandardCost', 'decimal(10,2)'),
+  ('trf_sales_summary', 'TotalRevenue', 'decimal(15,2)'), ('trf_sales_summary', 'MarginPct', 'decimal(6,2)'),
+  ('fact_sales_performance', 'AvgUnitPrice', 'decimal(10,2)'), ('fact_sales_performance', 'LoadTimestamp', 'timestamp'))
+  AS v(table_name, column_name, declared)""",
     "ingest_manifest": f"""WITH {LANDED}
 SELECT tbl AS "table", path || '/dt=2001-08-02' AS path, n AS "rows" FROM landed""",
     "ingest_readback": f"""WITH {LANDED} SELECT tbl AS "table", n AS "rows", ncols AS "columns" FROM landed""",
@@ -436,7 +454,7 @@ SELECT tbl AS "table", path || '/dt=2001-08-02' AS path, n AS "rows" FROM landed
     "regional_export_parquet": REGIONAL,
     "regional_export_csv": REGIONAL,
     "rebuilt_table": PRODUCTS_SELECT,
-    "typed_load": _typed_summary("total"),
+    "typed_load": _typed_summary("total", "cost"),
     "gold_export": f"{FACT} SELECT * EXCLUDE (cash) FROM fact",
     "sales_run": f"""{SALES},
 gaps AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT pid, tid FROM lines JOIN catalog USING (pid)))

@@ -7,6 +7,7 @@ no load times.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from rainledger.sinks import (
     write_partition,
 )
 from rainledger.sinks.staging import scratch_path
+from rainledger.sources.payload import payload_profile as profile_of_payloads
 from rainledger.sources import (
     CUSTOMER_TABLES,
     DATASETS,
@@ -329,6 +331,11 @@ def payload_flatten(spark, sf_dir):
     return flatten_daily_payload(a.payloads(spark, sf_dir), a.supplier_places(spark, sf_dir))
 
 
+@query
+def payload_profile(spark, sf_dir):
+    return profile_of_payloads(a.payloads(spark, sf_dir))
+
+
 @query
 def ingest_requests(spark, sf_dir):
     return ingest_plan(a.supplier_places(spark, sf_dir), a.AS_OF)
@@ -363,11 +370,17 @@ def landing_parquet_roundtrip(spark, sf_dir):
 
 @query
 def folder_scan(spark, sf_dir):
-    """Count every row of every Parquet file below the landing root, two tables deep."""
+    """Count every row of every Parquet file below the landing root, two tables of different columns deep."""
     root = scratch_path(spark, "landing")
-    write_partition(a.header(spark, sf_dir).select("SalesOrderID"), root, "sales_order_header", a.AS_OF)
-    write_partition(a.detail(spark, sf_dir).select("SalesOrderID"), root, "sales_order_detail", a.AS_OF)
-    return read_folder(spark, root).agg(F.count("*").alias("total_rows"))
+    write_partition(a.header(spark, sf_dir).select("SalesOrderID", "CustomerID"), root, "sales_order_header", a.AS_OF)
+    write_partition(a.detail(spark, sf_dir).select("SalesOrderID", "ProductID"), root, "sales_order_detail", a.AS_OF)
+    found = read_folder(spark, root)
+    return found.agg(
+        F.count("*").alias("total_rows"),
+        F.count("CustomerID").alias("customers"),
+        F.count("ProductID").alias("products"),
+        F.lit(",".join(sorted(found.columns))).alias("column_names"),
+    )
 
 
 def _landed(spark, sf_dir):
@@ -464,6 +477,26 @@ def sales_typed_run(spark, sf_dir):
     return tables["fact_sales_performance"]
 
 
+@query
+def declared_types(spark, sf_dir):
+    """The types that the loaded tables of the database variant hold, as text."""
+    tables = runs.run_sales_typed(spark, a.source_reader(spark, sf_dir), scratch_path(spark, "dwh"), "dwh_types")
+    wanted = {
+        "stg_sales_orders": ["LineTotal", "UnitPrice", "OrderQty", "OrderDate"],
+        "stg_products": ["ListPrice", "StandardCost"],
+        "trf_sales_summary": ["TotalRevenue", "MarginPct"],
+        "fact_sales_performance": ["AvgUnitPrice", "LoadTimestamp"],
+    }
+    parts = [
+        tables[name].agg(F.max(F.typeof(column)).alias("declared")).select(
+            F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "declared"
+        )
+        for name, columns in wanted.items()
+        for column in columns
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query
 def rfm_v1_run(spark, sf_dir):
     """The first customer variant from its source tables to its declared fact."""
