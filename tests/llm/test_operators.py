@@ -1,0 +1,326 @@
+"""The operators against brute force on the smallest tables, and on awkward rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from conftest import SMALL
+from rainledger.llm import (
+    licences, packing, parity_join, perplexity, registry, sharding, suffix_array, suffix_automaton, topk, warc, word_bpe,
+)
+from workbench import compare
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BYTES = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+LONG = " ".join(f"w{i}" for i in range(30_000))
+LINE = "one very common line that stands in many documents and is long enough to count here"
+AWKWARD = [
+    (1, None), (2, ""), (3, "a b c d e f"), (3, "a b c d e f"), (None, "x y"), (None, None), (4, " \n\t "),
+    (5, LONG), (6, LONG + " tail"), (7, f"{LINE}\nfirst end"), (8, f"{LINE}\nother"), (9, f"{LINE}\n{LINE}"),
+    (10, "Σας <|endoftext|> é中文 \x85 end"), (11, "tie"), (12, "tie"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return [(r["doc_id"], r["text"] or "") for r in docs.orderBy("doc_id").collect()]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    rows = [(i, t, "en" if n % 2 else None, f"s{n % 3}" if n % 4 else None, n, 1, 2) for n, (i, t) in enumerate(AWKWARD)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _id int, q int")
+
+
+def sha(data):
+    return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+def test_suffix_array_removes_what_brute_force_does(spark, docs, texts):
+    found = {r["doc_id"]: r for r in registry.op9_suffix_array_dedup(spark, SMALL).collect()}
+    seen = set()
+    for doc, text in texts:
+        data = text.encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - 99):
+            window = data[i : i + 100]
+            if window in seen:
+                gone[i : i + 100] = b"\1" * 100
+            seen.add(window)
+        kept = bytes(x for x, g in zip(data, gone) if not g)
+        assert (found[doc]["n_bytes"], found[doc]["n_removed"], found[doc]["kept_sha256"]) == (len(data), sum(gone), sha(kept))
+        assert found[doc]["n_spans"] == len(re.findall(b"\1+", bytes(gone)))
+
+
+def brute_words(texts, window=13):
+    seen, out = set(), {}
+    for doc, text in texts:
+        words = WORD.findall(text)
+        gone, own = [0] * len(words), []
+        for i in range(len(words) - window + 1):
+            key = tuple(words[i : i + window])
+            if key in seen:
+                gone[i : i + window] = [1] * window
+            own.append(key)
+        seen.update(own)
+        out[doc] = len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g)
+    return out
+
+
+@pytest.mark.parametrize("limit", [2000, 2])
+def test_automata_remove_what_brute_force_does(spark, texts, monkeypatch, limit):
+    monkeypatch.setattr(suffix_automaton, "ROUTE_LIMIT", limit)  # 2: crowded anchors go by the sort of their windows
+    found = {r["doc_id"]: tuple(r)[1:] for r in registry.op2_substring_dedup(spark, SMALL).collect()}
+    assert found == {doc: (n, gone, sha(kept)) for doc, (n, gone, kept) in brute_words(texts).items()}
+
+
+def test_automaton_knows_the_first_document_of_each_substring():
+    automaton, rng = suffix_automaton.SuffixAutomaton(), np.random.default_rng(3)
+    segments = [(doc, rng.choice(list("ab"), 12).tolist()) for doc in rng.permutation(40).tolist()]
+    for doc, words in segments:
+        automaton.add(words, doc)
+    automaton.finish()
+    for doc, words in segments:
+        gone = [0] * len(words)
+        for i in range(len(words) - 4):
+            part = words[i : i + 5]
+            if any(d < doc and part == w[j : j + 5] for d, w in segments for j in range(8)):
+                gone[i : i + 5] = [1] * 5
+        spans = automaton.earlier_spans(words, doc, 5)
+        assert [int(any(a <= k < b for a, b in spans)) for k in range(12)] == gone
+
+
+def brute_components(texts):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for doc, text in texts:
+        words = WORD.findall(text.translate(lower))
+        sets[doc] = {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+    root = {doc: doc for doc in sets}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b]) if a < b and sets[a] else 0
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {doc: (len(s), find(doc)) for doc, s in sets.items()}
+
+
+def test_parity_join_finds_the_components(spark, texts):
+    found = {r["doc_id"]: tuple(r)[1:] for r in registry.op6_parity_sketch_join(spark, SMALL).collect()}
+    assert found == brute_components(texts)
+
+
+def test_parity_join_at_the_threshold_and_in_a_family(spark):
+    rng = np.random.default_rng(5)
+    texts, base = [], [f"w{i}" for i in range(60)]
+    for doc in range(150):  # near copies of one text, some beyond the threshold
+        words = list(base)
+        for place in rng.integers(0, 60, rng.integers(0, 3)):
+            words[place] = f"x{rng.integers(0, 4)}"
+        texts.append((doc, " ".join(words)))
+    shingles = [f"a{i} b c d e" for i in range(3)]
+    texts += [(200, "a b c d e f g h"), (201, "a b c d e f g h i"), (202, "q w e r"), (203, "Q W E R"), (204, shingles[0])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: tuple(r)[1:] for r in parity_join.similar_components(docs).collect()}
+    assert found == brute_components(texts)
+
+
+def test_quality_statistics_and_verdicts(spark, docs, texts):
+    found = {r["doc_id"]: r for r in registry.op10_ngram_perplexity(spark, SMALL).collect()}
+    for doc, text in texts:
+        words, lines, seen, again = WORD.findall(text), text.split("\n"), set(), 0
+        for line in lines:
+            if WORD.search(line):
+                again += line in seen
+                seen.add(line)
+        counts = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+        mark = [0] * len(words)
+        for i in range(len(words) - 2):
+            if counts[tuple(words[i : i + 3])] > 1:
+                mark[i : i + 3] = [1] * 3
+        symbols = sum(text.count(c) for c in "#*$%&|<>")
+        r = found[doc]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"]) == (len(words), sum(map(len, words)), symbols)
+        assert (r["n_dup_lines"], r["n_repeat_words"]) == (again, sum(mark))
+        assert r["base_failed"] == (len(words) < 50 or 100 * sum(mark) > 50 * len(words))
+        assert not (r["base_failed"] and r["kept"])
+    rest = [r for r in found.values() if not r["base_failed"]]
+    assert sum(r["kept"] for r in rest) > 0.85 * len(rest)
+
+
+def test_the_model_is_a_distribution(docs):
+    narrow = docs.select("text", "lang")
+    languages = perplexity.frequent_languages(narrow)
+    arrays = perplexity.sorted_arrays(perplexity.train(narrow, languages))
+    p = 2.0 ** (-perplexity.costs(arrays, 0) / perplexity.UNIT)
+    assert np.allclose(p.reshape(-1, 32).sum(axis=1), 1, atol=1e-3)
+    assert all((np.diff(codes) > 0).all() for codes, _, _ in arrays.values())
+
+
+def test_packing_is_whole_and_tight(spark, texts):
+    rows = registry.op1_best_fit_packing(spark, SMALL).collect()
+    whole = Tokenizer.from_file(BYTES[0])
+    by_doc, by_bin = {}, {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_bin.setdefault(r["sequence_id"], []).append(r)
+    for doc, text in texts:
+        ids = np.array([*whole.encode(text, add_special_tokens=False).ids, 2], dtype="<u4")
+        start = 0
+        for n, r in enumerate(sorted(by_doc[doc], key=lambda r: r["piece"])):
+            assert (r["piece"], r["start"]) == (n, start)
+            assert r["ids_crc32"] == zlib.crc32(ids[start : start + r["length"]].tobytes())
+            assert r["length"] == 1024 or n == 0
+            start += r["length"]
+        assert start == len(ids)
+    for own in by_bin.values():
+        offset = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == offset
+            offset += r["length"]
+        assert offset <= 1024
+    bound = packing.lower_bound(np.array([r["length"] for r in rows]), 1024)
+    assert bound <= len(by_bin) <= bound * 1.03 + 1
+
+
+def test_lower_bounds_never_exceed_a_packing():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        sizes = np.sort(rng.integers(1, 21, rng.integers(1, 60)))[::-1]
+        bins = packing.best_fit_decreasing(sizes, 20)
+        assert np.bincount(bins, weights=sizes).max() <= 20
+        assert packing.lower_bound(sizes, 20) <= bins.max() + 1
+    assert packing.lower_bound(np.array([11] * 5), 20) == 5 and packing.lower_bound(np.array([7] * 6), 20) == 3
+
+
+def test_shards_match_the_mixture(spark, docs):
+    rows = registry.op3_stratified_sharding(spark, SMALL)
+    found = rows.join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    sizes = found.groupby("shard").size()
+    assert len(found) == docs.count() and sizes.max() - sizes.min() <= 1 and len(sizes) == 24
+    assert (found.groupby("shard").slot.max() + 1 == sizes).all() and not found.duplicated(["shard", "slot"]).any()
+    sources = found.source.nunique()
+    for source, own in found.groupby("source"):
+        counts = own.groupby("shard").size().reindex(range(24), fill_value=0)
+        assert (abs(counts - len(own) / 24) < sources).all()
+
+
+def test_word_bpe_equals_the_library(spark, docs, texts):
+    found = {r["doc_id"]: r for r in registry.op4_bpe_round_trip(spark, SMALL).collect()}
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    bpe = word_bpe.WordBpe(public_tokenizers.path("word_bpe_49k.json"))
+    odd = ["a" * 3000, "ab" * 999, "Σας ΑΣ", "İ ß ẞ", "x<|endoftext|>y", "it's IT'S 12３", "́e é", "한 \x85　z", ""]
+    for text, (n, ids, decoded) in zip(odd, bpe.encode_decode(odd)):
+        expected = whole.encode(text, add_special_tokens=False).ids
+        assert (n, ids) == (len(expected), np.array(expected, "<u4").tobytes())
+        assert decoded == whole.decode(expected, skip_special_tokens=False)
+    for doc, text in texts:
+        ids = whole.encode(text, add_special_tokens=False).ids
+        r = found[doc]
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), sha(np.array(ids, "<u4").tobytes()))
+        assert r["decoded_sha256"] == sha(whole.decode(ids, skip_special_tokens=False))
+
+
+def brute_top(rows, k, divisor):
+    ids, values = np.array([i for i, _ in rows]), np.floor(64 * np.array([v for _, v in rows], dtype=np.float64)).astype(int)
+    out = set()
+    for at in np.flatnonzero(ids % divisor == 0):
+        scores = values @ values[at]
+        order = [j for j in np.lexsort((ids, -scores)) if j != at][:k]
+        out |= {(int(ids[at]), n + 1, int(ids[j]), int(scores[j])) for n, j in enumerate(order)}
+    return out
+
+
+def test_topk_is_exact_with_ties_and_gaps(spark, monkeypatch):
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", 64)
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=4)] if i % 3 else [1.0, 0.0, 0.0, 0.0]) for i in range(150)]
+    bad = [(500, None), (520, [1.0, None, 0.0, 0.0]), (540, [float("nan"), 0.0, 0.0, 0.0]), (None, [1.0, 0.0, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>").withColumn("rank", F.lit(1))
+    assert {tuple(r) for r in topk.top_partners(vectors, "vec_id % 20 = 0", 7).collect()} == brute_top(rows, 7, 20)
+    few = spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>")
+    assert topk.top_partners(few, "vec_id % 20 = 0").count() == 2
+    assert topk.top_partners(few.limit(0), "vec_id % 20 = 0").count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_queries_equal_their_sql(spark, name, monkeypatch):
+    monkeypatch.setitem(compare.QUERIES, name, registry.QUERIES[name])
+    monkeypatch.setitem(compare.ORACLES, name, registry.ORACLES[name])
+    assert compare.differences(name, spark, SMALL, compare.connect(SMALL)) == []
+
+
+def test_licence_rules_take_the_longest_first(spark):
+    text = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated " \
+        "documentation files (the \"Software\"), to deal in the Software without restriction. Words between. " \
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    docs = spark.createDataFrame([(1, "MIT License\n" + text), (2, text), (3, "All rights reserved."), (4, None)], "doc_id int, text string")
+    assert {r["doc_id"]: r["licence"] for r in licences.scan_licences(docs).collect()} == {1: "MIT text", 2: "MIT", 3: "proprietary", 4: None}
+
+
+def test_warc_records_name_their_response(spark):
+    html = "<html lang='x'><title>A &amp; B</title><p>One<p>two &lt;3</p><script>no()</script></html>"
+    rows = warc.derive_records(spark.createDataFrame([(1, "u", html), (2, None, None)], "page_id int, url string, html string")).collect()
+    by = {(r["page_id"], r["record_type"]): r for r in rows}
+    assert by[1, "conversion"]["block"] == "One two <3" and by[1, "metadata"]["block"].startswith("title: A & B\r\n")
+    assert by[1, "conversion"]["refers_to"] == by[1, "metadata"]["refers_to"] != by[2, "metadata"]["refers_to"]
+    assert by[2, "conversion"]["content_length"] == 0 and len({r["record_id"] for r in rows}) == 4
+
+
+EACH = {
+    "packing": lambda d: packing.pack_documents(d, *BYTES, keep_ids=True),
+    "automata": suffix_automaton.remove_repeated_words,
+    "cut": suffix_automaton.cut_repeats,
+    "sharding": lambda d: sharding.shard_documents(
+        d.withColumn("size", F.lit(8)).withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))), 24
+    ),
+    "bpe": lambda d: word_bpe.encode_and_decode(d, public_tokenizers.path("word_bpe_49k.json")),
+    "join": parity_join.similar_components,
+    "first": parity_join.keep_first,
+    "licences": licences.scan_licences,
+    "bytes": suffix_array.remove_repeated_bytes,
+    "quality": perplexity.rate_documents,
+    "good": perplexity.keep_good,
+}
+
+
+@pytest.mark.parametrize("name", sorted(EACH))
+def test_awkward_and_empty_tables(spark, awkward, name):
+    whole = EACH[name](awkward).collect()
+    assert EACH[name](awkward.limit(0)).count() == 0
+    if name == "packing":
+        assert {r["doc_id"] for r in whole} == {i for i, _ in AWKWARD}
+        assert sum(r["length"] == 1 for r in whole) == 3  # null and empty texts: the end token alone
+    elif name == "first":
+        assert whole[0].__fields__ == awkward.columns
+        # Of (3, 3), (5, 6), (7, 8: 12 of 15 shingles) and (11, 12) the first stays; empty documents link with nothing.
+        assert Counter(r["doc_id"] for r in whole) == Counter([1, 2, 3, None, None, 4, 5, 7, 9, 10, 11])
+    elif name == "good":
+        assert whole == [] or whole[0].__fields__ == awkward.columns
+    else:
+        assert len(whole) == len(AWKWARD)
+    if name == "automata":
+        gone = {r["doc_id"]: r["n_removed"] for r in whole}
+        assert gone[6] == 30_000 and gone[8] == gone[9] / 2 == 16 and gone[5] == 0
+    if name == "cut":
+        assert whole[0].__fields__ == awkward.columns
+        assert {r["doc_id"]: r["text"] for r in whole}[6] == "tail"
+    if name == "bytes":
+        assert {r["doc_id"]: r["kept"] for r in whole}[6] == b" tail"
