@@ -14,7 +14,10 @@ agree in empty blocks alone have more than ``spare`` of them, and only such docu
 Rows are sorted by block content and read as a stream; the first document of each content meets all others. What is
 verified is linked; where the others of a content still belong to different components, another of them meets
 the rest (blocks that very many share, such as those of a common line, are left out as far as each document has blocks to
-spare), and after ``STAR_ROUNDS`` rounds all remaining pairs of different components are verified. So no pair within a group that is already
+spare). After ``STAR_ROUNDS`` rounds, documents that still share a block with another component meet by their rarest shingles:
+shingles are put in one order, those that only one component has first, then by frequency; linked documents share one
+of their first ``n - ceil(0.8 n) + 1``, and the places of the first one they share bound their intersection. So families of documents
+that differ too much fall apart without making their pairs, no pair within a group that is already
 connected is made, and no connection is lost. Pairs whose whole sketches of ``SKETCH_BITS`` bits differ too much are ruled out;
 verification compares the whole sets of 64-bit hashes.
 
@@ -38,6 +41,7 @@ from .rows import ROW, carried, identified, partitions, restored
 SHINGLE = 5
 RATIO, SPARE, STAR_ROUNDS = 1.4, 0.2, 3
 BAND_MASK, SKETCH_BITS = 127, 1024
+CHUNK_SHINGLES = 1 << 17
 
 
 def _bands(largest: int) -> list[tuple[int, int]]:
@@ -219,6 +223,47 @@ def _without_spares(rows: DataFrame, sums: DataFrame) -> DataFrame:
     return ranked.filter(F.col("_rank") > F.col("spare")).select("key", "member", "component")
 
 
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        members, of = (batch.column(c).to_numpy() for c in ("member", "component"))
+        sets = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in batch.column("shingles")]
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        part = np.cumsum(sizes) // CHUNK_SHINGLES
+        for first, last in zip(*(np.searchsorted(part, np.unique(part), side=side).tolist() for side in ("left", "right"))):
+            own = sizes[first:last]
+            columns = [np.repeat(c[first:last], own) for c in (members, of, sizes)]
+            keys = np.concatenate(sets[first:last]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (keys, *columns))], names=["key", "member", "component", "n"])
+
+
+def _rarest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """key, member, component, n, most: the rarest shingles of each member (member, component) that other components have too.
+
+    Members of different components that are linked share one of them, and neither has more than the other's ``most`` shingles.
+    """
+    beside = members.join(sets.toDF("member", "shingles"), "member")
+    rows = beside.mapInArrow(_each_shingle, "key long, member long, component long, n long")
+    known = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("_count"), (F.min("component") < F.max("component")).alias("_shared")
+    )
+    order = Window.partitionBy("member").orderBy("_shared", "_count", "key")
+    ranked = rows.join(known, "key").withColumn("_place", F.row_number().over(order))
+    first = ranked.filter(F.col("_shared") & (F.col("_place") <= F.expr(f"n - ({percent} * n + 99) DIV 100 + 1")))
+    # Where this is the first shingle they share, the intersection holds n - _place + 1 at most.
+    return first.select("key", "member", "component", "n", F.expr(f"({100 + percent} * (n - _place + 1)) DIV {percent} - n").alias("most"))
+
+
+def _rare_meetings(rare: DataFrame) -> DataFrame:
+    """x, y: members of different components that share a key of ``rare`` and whose sizes allow a link."""
+    keys = rare.groupBy("key").agg(
+        F.min("n").alias("_least"), F.min("component").alias("_first"), F.max("component").alias("_last")
+    )
+    rows = rare.join(keys.filter("_first <> _last").select("key", "_least"), "key").filter("most >= _least").drop("_least")
+    other = rows.toDF("key", "y", "other", "n_y", "most_y")
+    met = rows.join(other, "key").filter("member < y AND component <> other AND n <= most_y AND n_y <= most")
+    return met.select(F.col("member").alias("x"), "y")
+
+
 def _linked(percent: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,8 +370,8 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
             meeting = rest.join(leads, "key").filter("component <> of").select(F.col("lead").alias("x"), F.col("member").alias("y"))
             rest = rest.join(leads.select("key", F.col("lead").alias("member")), ["key", "member"], "left_anti").select("key", "member")
         else:
-            other = rest.select("key", "member", "component").toDF("key", "y", "other")
-            meeting = rest.join(other, "key").filter("member < y AND component <> other").select(F.col("member").alias("x"), "y")
+            rare = _rarest(rest.select("member", "component").distinct(), sets, percent)
+            meeting = _rare_meetings(stage(rare, "llm-rarest"))
         fresh = stage(pairs(meeting, "x", "y").join(met, ["a", "b"], "left_anti"), "llm-pairs")
         rest = stage(rest.select("key", "member"), "llm-open")
         met = met.union(fresh)  # pairs that the sketches rule out may be met, and ruled out, again

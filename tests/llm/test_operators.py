@@ -142,6 +142,40 @@ def test_parity_join_at_the_threshold_and_in_a_family(spark):
     assert found == brute_components(texts)
 
 
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_parity_join_in_families_that_differ_too_much(spark, rounds, monkeypatch):
+    monkeypatch.setattr(parity_join, "STAR_ROUNDS", rounds)
+    rng = np.random.default_rng(6)
+    texts = []
+    for doc in range(160):  # most pairs lie below the threshold, some chains of links cross it
+        words = [f"w{i}" for i in range(80)][: rng.integers(60, 81)]
+        for place in rng.integers(0, 60, rng.integers(0, 6)):
+            words[place] = f"x{rng.integers(0, 2)}"
+        texts.append((doc, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: tuple(r)[1:] for r in parity_join.similar_components(docs).collect()}
+    assert found == brute_components(texts)
+
+
+def test_rare_shingles_meet_in_every_linked_pair(spark):
+    rng = np.random.default_rng(7)
+    sets = {}
+    for i in range(120):
+        n = int(rng.integers(26, 33))
+        sets[i] = np.sort(rng.choice(34, n, replace=False).astype(np.uint64) + np.uint64(100 * (i % 3)))
+    members = spark.createDataFrame([(i, i // 2 * 2) for i in sets], "member long, component long")
+    hashed = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "id long, shingles binary")
+    met = {tuple(r) for r in parity_join._rare_meetings(parity_join._rarest(members, hashed, 80)).collect()}
+    linked = 0
+    for b in sets:
+        for a in range(b):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if a // 2 != b // 2 and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                linked += 1
+                assert (a, b) in met
+    assert linked > 100
+
+
 def test_quality_statistics_and_verdicts(spark, docs, texts):
     found = {r["doc_id"]: r for r in registry.op10_ngram_perplexity(spark, SMALL).collect()}
     for doc, text in texts:
