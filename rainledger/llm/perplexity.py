@@ -1,23 +1,24 @@
 """Quality rules: text statistics, and n-gram perplexity under a model per language.
 
-The model is modified Kneser-Ney of order 4 over classes of UTF-8 bytes (letters without case, digits, spaces, marks,
-bytes of other letters: 32 classes). Spark counts the n-grams of all documents, and derives continuation counts, discounts
-and back-off weights by grouping and joining; tasks probe sorted arrays of n-gram codes. Over classes a language has
-at most 32**4 n-grams whatever the corpus, so the model that tasks receive has a proven bound; over words it would grow with
-the corpus. The ``MODELS - 1`` most frequent languages have a model and bands of their own, all others and null share one.
+The model is modified Kneser-Ney of order 5 over UTF-8 bytes. Spark counts the n-grams of all documents, every one of them, and
+derives continuation counts, discounts and back-off weights by grouping and joining; a context or a suffix has 256 n-grams at most,
+so no key of these joins is hot. The number of n-grams grows with the corpus. They are dealt by hash into shards of about
+``SHARD_ENTRIES``; each shard is one pair of sorted arrays (n-gram, cost), broadcast by itself, and the documents are read once for each
+shard, which adds what it knows. So a task holds one shard, however large the model is. The documents rated are those that
+were counted, so each of their n-grams is in just one shard. The ``MODELS - 1`` most frequent languages have a model and
+bands of their own, all others and null share one.
 
 A document is kept if it has at least 50 words, at most half of them in repeated 3-word windows, and a perplexity
 within its language's bands. The bands are the outer fences (quartiles -+ ``FENCE`` times their distance, and ``SLACK`` bits) of the
 documents that pass the first two rules. All sums are whole numbers, so results don't depend on how rows are dealt.
 
-Null texts are empty: no words, not kept. Texts of fewer than 4 bytes have no n-gram, and perplexity null. Rows that
+Null texts are empty: no words, not kept. Texts of fewer than 5 bytes have no n-gram, and perplexity null. Rows that
 repeat an id, or have none, are rated each by itself. Other columns pass through or are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,59 +28,66 @@ from pyspark.sql import functions as F
 
 from ..sinks.staging import stage
 from . import grams
+from .rows import ROW, carried, identified, restored
 
-ORDER, BITS, MODELS = 4, 5, 8
-SIZE = 1 << (ORDER * BITS)
+ORDER, BITS, MODELS = 5, 8, 8
+#: N-grams in one broadcast (12 bytes each), and in a counting task before it passes them on.
+SHARD_ENTRIES, HELD_ENTRIES = 1 << 22, 1 << 22
 FENCE, SLACK, BAND_STEPS = 3, 0.05, 256
 #: Log probabilities are whole numbers of 2**-16 bits.
 UNIT = 1 << 16
-
-
-def _classes() -> np.ndarray:
-    kinds = np.full(256, 29, dtype=np.int32)
-    for letter in range(26):
-        kinds[65 + letter] = kinds[97 + letter] = letter
-    kinds[[9, 10, 11, 12, 13, 32]] = 26
-    kinds[48:58] = 27
-    kinds[[ord(c) for c in ".,;:!?'\"()-"]] = 28
-    kinds[128:] = 30 + np.arange(128) % 2
-    return kinds
-
-
-_CLASSES = _classes()
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
 
 def _codes(data: np.ndarray) -> np.ndarray:
     """The n-gram that begins at each byte, as far as there is one."""
-    kinds = _CLASSES[data]
-    n = max(0, len(kinds) - ORDER + 1)
-    codes = kinds[:n].copy()
-    for i in range(1, ORDER):
-        codes = (codes << BITS) | kinds[i : n + i]
+    n = max(0, len(data) - ORDER + 1)
+    codes = np.zeros(n, dtype=np.int64)
+    for i in range(ORDER):
+        codes = (codes << BITS) | data[i : n + i]
     return codes
 
 
+def _keys(batch: pa.RecordBatch, languages: list[str]) -> Iterator[tuple[grams.Chunk, np.ndarray, np.ndarray]]:
+    """Each chunk of a batch (ROW, text, lang), where its n-grams begin, and their codes with the model before them."""
+    own, at = _models(batch.column("lang"), languages), 0
+    for chunk in grams.chunks(batch, ROW, "text"):
+        model = np.repeat(own[at : at + len(chunk.ids)], np.diff(chunk.bounds))
+        at += len(chunk.ids)
+        begins = np.flatnonzero(grams.starts_within(chunk.bounds, ORDER))
+        yield chunk, begins, (model[begins].astype(np.int64) << (ORDER * BITS)) | _codes(chunk.data)[begins]
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    found, firsts = np.unique(keys[order], return_index=True)
+    return found, np.add.reduceat(counts[order], firsts) if len(firsts) else counts
+
+
 def _count(languages: list[str]):
+    def out(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, counts = _summed(parts)
+        for first in range(0, len(keys), 1 << 17):
+            own = keys[first : first + (1 << 17)]
+            columns = [(own >> (ORDER * BITS)).astype(np.int32), own & ((1 << (ORDER * BITS)) - 1), counts[first : first + (1 << 17)]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["model", "code", "n"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, np.ndarray] = {}
+        parts, held = [], 0
         for batch in batches:
-            own = _models(batch.column("lang"), languages)
-            at = 0
-            for chunk in grams.chunks(batch, "row", "text"):
-                codes, inside = _codes(chunk.data), grams.starts_within(chunk.bounds, ORDER)
-                model = np.repeat(own[at : at + len(chunk.ids)], np.diff(chunk.bounds))[: len(codes)]
-                at += len(chunk.ids)
-                inside = inside[: len(codes)]
-                for m in np.unique(model[inside]).tolist():
-                    found = np.bincount(codes[inside & (model == m)], minlength=SIZE)
-                    counts[m] = counts[m] + found if m in counts else found
-        for m, found in counts.items():
-            used = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(used), m, dtype=np.int32)), pa.array(used), pa.array(found[used])], names=["model", "code", "n"]
-            )
+            for _, _, keys in _keys(batch, languages):
+                parts.append(np.unique(keys, return_counts=True))
+                held += len(parts[-1][0])
+                if held > HELD_ENTRIES:
+                    parts = [_summed(parts)]
+                    held = len(parts[0][0])
+                    if 2 * held > HELD_ENTRIES:
+                        yield from out(parts)
+                        parts, held = [], 0
+        if parts:
+            yield from out(parts)
 
     return read
 
@@ -95,81 +103,69 @@ def frequent_languages(docs: DataFrame) -> list[str]:
 
 
 def train(docs: DataFrame, languages: list[str]) -> DataFrame:
-    """model, size (of the n-gram), code, p (its probability, all orders in), and gamma: the back-off weight of the
-    n-gram as a context, null where nothing follows it. ``docs``: text, lang."""
-    narrow = docs.select(F.lit(0).cast("long").alias("row"), F.col("text"), F.col("lang"))
-    counted = narrow.mapInArrow(_count(languages), "model int, code long, n long")
+    """model, code, p: the probability of the last byte of each n-gram of the documents (ROW, text, lang) after the others, all
+    orders interpolated."""
+    counted = docs.mapInArrow(_count(languages), "model int, code long, n long")
     counts = {ORDER: stage(counted.groupBy("model", "code").agg(F.sum("n").alias("n")), "llm-ngrams")}
     for size in range(ORDER - 1, 0, -1):
         ending = F.col("code").bitwiseAND((1 << (size * BITS)) - 1).alias("code")
-        # How many different symbols stand before it: Kneser-Ney's counts of the lower orders.
-        counts[size] = counts[size + 1].groupBy("model", ending).agg(F.count(F.lit(1)).alias("n"))
-    tables, lower = [], None
+        # How many different bytes stand before it: Kneser-Ney's counts of the lower orders.
+        counts[size] = stage(counts[size + 1].groupBy("model", ending).agg(F.count(F.lit(1)).alias("n")), "llm-ngrams")
+    lower = None
     for size in range(1, ORDER + 1):
         own = counts[size]
         seen = own.groupBy("model").agg(*[F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)])
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
         discount = [
             F.coalesce(F.greatest(F.lit(0.0), F.lit(float(i)) - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0))), F.lit(0.5)).alias(f"d{i}")
             for i in (1, 2, 3)
         ]
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        context = F.shiftright(F.col("code"), BITS).alias("context")
-        rows = own.join(seen.select("model", *discount), "model").select("model", "code", context, "n", cut.alias("d"))
+        rows = own.join(seen.select("model", *discount), "model").select("model", "code", F.shiftright("code", BITS).alias("context"), "n", cut.alias("d"))
         # Whole counts of each discount, so that the sums are exact.
-        share = rows.groupBy("model", "context").agg(F.sum("n").alias("all"), *[F.sum((F.col("n") == i).cast("long")).alias(f"c{i}") for i in (1, 2)], F.sum((F.col("n") > 2).cast("long")).alias("c3"))
+        share = own.groupBy("model", F.shiftright("code", BITS).alias("context")).agg(
+            F.sum("n").alias("all"), *[F.sum((F.col("n") == i).cast("long")).alias(f"c{i}") for i in (1, 2)], F.sum((F.col("n") > 2).cast("long")).alias("c3")
+        )
         share = share.join(seen.select("model", *discount), "model")
         gamma = (F.col("c1") * F.col("d1") + F.col("c2") * F.col("d2") + F.col("c3") * F.col("d3")) / F.col("all")
-        share = share.select("model", "context", "all", gamma.alias("gamma"))
-        rows = rows.join(share, ["model", "context"])
-        below = F.col("code").bitwiseAND((1 << ((size - 1) * BITS)) - 1).alias("below")
+        rows = rows.join(share.select("model", "context", "all", gamma.alias("gamma")), ["model", "context"])
         if lower is None:
             rows = rows.withColumn("p_below", F.lit(1.0 / (1 << BITS)))
         else:
-            rows = rows.withColumn("below", below).join(lower.select("model", F.col("code").alias("below"), F.col("p").alias("p_below")), ["model", "below"])
+            below = F.col("code").bitwiseAND((1 << ((size - 1) * BITS)) - 1)
+            rows = rows.withColumn("below", below).join(lower.toDF("model", "below", "p_below"), ["model", "below"])
         p = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("all") + F.col("gamma") * F.col("p_below")
         lower = stage(rows.select("model", "code", p.alias("p")), "llm-probabilities")
-        tables.append(lower.select("model", F.lit(size).alias("size"), "code", "p", F.lit(None).cast("double").alias("gamma")))
-        tables.append(share.select("model", F.lit(size - 1).alias("size"), F.col("context").alias("code"), F.lit(None).cast("double").alias("p"), "gamma"))
-    whole = tables[0]
-    for table in tables[1:]:
-        whole = whole.union(table)
-    return whole.groupBy("model", "size", "code").agg(F.max("p").alias("p"), F.max("gamma").alias("gamma"))
+    return lower
 
 
-def sorted_arrays(model: DataFrame) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By model and size of the n-gram: sorted codes, probabilities, back-off weights (0 and 1 where there is none).
+def sorted_shards(model: DataFrame, entries: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted n-grams (with their model) and their costs, minus log2 of the probability in units: shards of about ``entries``."""
+    key = F.shiftleft(F.col("model").cast("long"), ORDER * BITS).bitwiseOR(F.col("code"))
+    cost = F.round(-F.log2(F.greatest("p", F.lit(1e-12))) * UNIT).cast("int")
+    known = model.select(key.alias("key"), cost.alias("cost"))
+    shards = max(1, -(-known.count() // entries))
+    for i in range(shards):
+        rows = known.filter(F.pmod(F.xxhash64("key"), F.lit(shards)) == i).toPandas()
+        order = np.argsort(rows["key"].to_numpy())
+        yield rows["key"].to_numpy()[order], rows["cost"].to_numpy()[order]
 
-    At most ``MODELS`` times (32 + 32**2 + 32**3 + 32**4) entries.
-    """
-    rows = model.toPandas().sort_values(["model", "size", "code"])
-    return {
-        (int(m), int(size)): (part["code"].to_numpy(), part["p"].fillna(0.0).to_numpy(), part["gamma"].fillna(1.0).to_numpy())
-        for (m, size), part in rows.groupby(["model", "size"])
-    }
 
+def _cost(languages: list[str], source: Broadcast):
+    """Of each document: what its n-grams in one shard cost."""
 
-def _probe(arrays: tuple[np.ndarray, np.ndarray, np.ndarray] | None, codes: np.ndarray, what: int, missing: float) -> np.ndarray:
-    if arrays is None or not len(arrays[0]):
-        return np.full(len(codes), missing)
-    at = np.minimum(np.searchsorted(arrays[0], codes), len(arrays[0]) - 1)
-    return np.where(arrays[0][at] == codes, arrays[what][at], missing)
-
-
-def costs(arrays: dict, model: int) -> np.ndarray:
-    """Minus log2 of the probability of the last symbol of each n-gram after the others, in units."""
-    p = np.full(1, 1.0 / (1 << BITS))
-    for size in range(1, ORDER + 1):
-        codes = np.arange(1 << (size * BITS))
-        backed = _probe(arrays.get((model, size - 1)), codes >> BITS, 2, 1.0) * p[codes & (len(p) - 1)]
-        seen = _probe(arrays.get((model, size)), codes, 1, 0.0)
-        p = np.where(seen > 0, seen, backed)
-    return np.round(-np.log2(np.maximum(p, 1e-12)) * UNIT).astype(np.int64)
-
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, costs = source.value
+        for batch in batches:
+            for chunk, begins, keys in _keys(batch, languages):
+                each = np.zeros(len(chunk.data), dtype=np.int64)
+                if len(known) and len(keys):
+                    asked, place = np.unique(keys, return_inverse=True)
+                    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                    each[begins] = np.where(known[at] == asked, costs[at], 0)[place]
+                yield pa.RecordBatch.from_arrays([pa.array(chunk.ids), pa.array(_per_doc(each, chunk.bounds))], names=[ROW, "cost"])
 
-@cache
-def _costs_of(source: Broadcast, model: int) -> np.ndarray:
-    return costs(source.value, model).astype(np.int32)
+    return read
 
 
 def _per_doc(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -207,12 +203,11 @@ def _lines(chunk: grams.Chunk) -> np.ndarray:
     return np.bincount(doc[later], minlength=len(chunk.ids))
 
 
-STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, model int, cost long, n_grams long"
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _statistics(chunk: grams.Chunk, model: np.ndarray, source: Broadcast) -> list[np.ndarray]:
+def _statistics(chunk: grams.Chunk) -> list[np.ndarray]:
     words = grams.words(chunk)
-    n = np.diff(words.bounds)
     letters = ~grams.is_separator(chunk.data) & ((chunk.data & 0xC0) != 0x80)
     repeated = np.zeros(len(words.starts), dtype=np.int64)
     begins = np.flatnonzero(grams.starts_within(words.bounds, 3))
@@ -221,107 +216,85 @@ def _statistics(chunk: grams.Chunk, model: np.ndarray, source: Broadcast) -> lis
         twice = begins[_repeated(grams.RangeHashes(words.hashes).of(begins, begins + 3), doc)[0]]
         for i in range(3):
             repeated[twice + i] = 1
-    codes, inside = _codes(chunk.data), grams.starts_within(chunk.bounds, ORDER)
-    cost = np.zeros(len(chunk.data), dtype=np.int64)
-    owner = np.repeat(model, np.diff(chunk.bounds))[: len(codes)]
-    for m in np.unique(model).tolist():
-        use = np.flatnonzero(inside[: len(codes)] & (owner == m))
-        cost[use] = _costs_of(source, m)[codes[use]]
     return [
-        n,
+        np.diff(words.bounds),
         _per_doc(letters, chunk.bounds),
         _per_doc(_SYMBOLS[chunk.data], chunk.bounds),
         _lines(chunk),
         _per_doc(repeated, words.bounds),
-        model,
-        _per_doc(cost, chunk.bounds),
-        _per_doc(inside, chunk.bounds),
     ]
 
 
-def _rate(text: str, lang: str, stats: str, languages: list[str], source: Broadcast):
-    kinds = [(f.split()[0], pa.int32() if f.split()[1] == "int" else pa.int64()) for f in STATS.split(", ")]
-
+def _measure(languages: list[str]):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = _models(batch.column(lang), languages)
-            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(text)], names=["row", "text"])
-            for chunk in grams.chunks(rows, "row", "text"):
-                first, n = int(chunk.ids[0]), len(chunk.ids)
-                found = _statistics(chunk, own[first : first + n], source)
-                struct = pa.StructArray.from_arrays([pa.array(c, k) for c, (_, k) in zip(found, kinds)], [name for name, _ in kinds])
-                part = batch.slice(first, n)
-                yield pa.RecordBatch.from_arrays([*part.columns, struct], names=[*part.schema.names, stats])
+            own, at = _models(batch.column("lang"), languages), 0
+            for chunk in grams.chunks(batch, ROW, "text"):
+                n_grams = np.maximum(np.diff(chunk.bounds) - ORDER + 1, 0)
+                found = [chunk.ids, *_statistics(chunk), own[at : at + len(chunk.ids)], n_grams]
+                at += len(chunk.ids)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, found)], names=[ROW, *STATS, "model", "n_grams"])
 
     return read
 
 
-class QualityRules:
-    """The rules, fitted to all documents of ``docs`` (text, lang)."""
-
-    def __init__(self, docs: DataFrame):
-        self.languages = frequent_languages(docs)
-        arrays = sorted_arrays(train(docs, self.languages))
-        self.source = docs.sparkSession.sparkContext.broadcast(arrays)
-
-    def statistics(self, docs: DataFrame, stats: str) -> DataFrame:
-        """``docs`` with a column ``stats``: a struct of the statistics and the cost."""
-        kind = ",".join(f"{f.split()[0]}:{f.split()[1]}" for f in STATS.split(", "))
-        schema = ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema), f"{stats} struct<{kind}>"])
-        return docs.mapInArrow(_rate("text", "lang", stats, self.languages, self.source), schema)
-
-    @staticmethod
-    def base_failed(stats: str) -> Column:
-        words, repeated = F.col(f"{stats}.n_words"), F.col(f"{stats}.n_repeat_words")
-        return (words < 50) | (100 * repeated > 50 * words)
-
-    @staticmethod
-    def bits(stats: str) -> Column:
-        """Mean bits of a symbol; null without n-grams."""
-        return F.col(f"{stats}.cost") / F.nullif(F.col(f"{stats}.n_grams"), F.lit(0)) / UNIT
-
-    def bands(self, rated: DataFrame, stats: str) -> dict[int, tuple[float, float]]:
-        """The lowest and highest mean bits allowed by model."""
-        step = F.floor(self.bits(stats) * BAND_STEPS).alias("step")
-        passed = rated.filter(~self.base_failed(stats) & (F.col(f"{stats}.n_grams") > 0))
-        counts = passed.groupBy(F.col(f"{stats}.model").alias("model"), step).count()
-        by = Window.partitionBy("model").orderBy("step")
-        share = F.sum("count").over(by) / F.sum("count").over(Window.partitionBy("model"))
-        quarter = lambda q: F.min(F.when(F.col("share") >= q, F.col("step"))) / BAND_STEPS
-        rows = counts.withColumn("share", share).groupBy("model").agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"))
-        found = {}
-        for r in rows.collect():  # MODELS rows at most
-            reach = FENCE * (r["q3"] - r["q1"]) + SLACK
-            found[r["model"]] = r["q1"] - reach, r["q3"] + reach
-        return found
-
-    def kept(self, stats: str, bands: dict[int, tuple[float, float]]) -> Column:
-        inside = F.lit(False)
-        for model, (low, high) in bands.items():
-            inside = inside | ((F.col(f"{stats}.model") == model) & self.bits(stats).between(low, high))
-        return F.coalesce(~self.base_failed(stats) & inside, F.lit(False))
-
-
-def rate_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, the statistics, base_failed, perplexity (of a symbol) and kept, for every document."""
-    narrow = docs.selectExpr("cast(doc_id as long) as doc_id", "text", "lang")
-    rules = QualityRules(narrow)
-    rated = stage(rules.statistics(narrow, "q").drop("text", "lang"), "llm-rated")
+def base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def bits() -> Column:
+    """Mean bits of a byte; null without n-grams."""
+    return F.col("cost") / F.nullif(F.col("n_grams"), F.lit(0)) / UNIT
+
+
+def bands(rated: DataFrame) -> dict[int, tuple[float, float]]:
+    """The lowest and highest mean bits allowed by model."""
+    passed = rated.filter(~base_failed() & (F.col("n_grams") > 0))
+    counts = passed.groupBy("model", F.floor(bits() * BAND_STEPS).alias("step")).count()
+    by = Window.partitionBy("model").orderBy("step")
+    share = F.sum("count").over(by) / F.sum("count").over(Window.partitionBy("model"))
+    quarter = lambda q: F.min(F.when(F.col("share") >= q, F.col("step"))) / BAND_STEPS
+    rows = counts.withColumn("share", share).groupBy("model").agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"))
+    found = {}
+    for r in rows.collect():  # MODELS rows at most
+        reach = FENCE * (r["q3"] - r["q1"]) + SLACK
+        found[r["model"]] = r["q1"] - reach, r["q3"] + reach
+    return found
+
+
+def _rated(docs: DataFrame, entries: int) -> DataFrame:
+    """ROW, the statistics, base_failed, perplexity and kept of documents (ROW, text, lang)."""
+    languages, context = frequent_languages(docs), docs.sparkSession.sparkContext
+    costs = None
+    for shard in sorted_shards(train(docs, languages), entries):
+        source = context.broadcast(shard)
+        known = stage(docs.mapInArrow(_cost(languages, source), f"{ROW} long, cost long"), "llm-costs")
+        source.unpersist()
+        costs = known if costs is None else stage(costs.union(known).groupBy(ROW).agg(F.sum("cost").alias("cost")), "llm-costs")
+    kinds = ", ".join(f"{c} long" for c in STATS)
+    measured = docs.mapInArrow(_measure(languages), f"{ROW} long, {kinds}, model int, n_grams long")
+    rated = stage(measured.join(costs, ROW), "llm-rated")
+    inside = F.lit(False)
+    for model, (low, high) in bands(rated).items():
+        inside = inside | ((F.col("model") == model) & bits().between(low, high))
     return rated.select(
-        "doc_id",
-        *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-        rules.base_failed("q").alias("base_failed"),
-        F.pow(F.lit(2.0), rules.bits("q")).alias("perplexity"),
-        rules.kept("q", rules.bands(rated, "q")).alias("kept"),
+        ROW,
+        *STATS,
+        base_failed().alias("base_failed"),
+        F.pow(F.lit(2.0), bits()).alias("perplexity"),
+        F.coalesce(~base_failed() & inside, F.lit(False)).alias("kept"),
     )
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
+def rate_documents(docs: DataFrame, entries: int = SHARD_ENTRIES) -> DataFrame:
+    """doc_id, the statistics, base_failed, perplexity (of a byte) and kept, for every document."""
+    rows = identified(docs, "doc_id", "text", "lang")
+    rated = _rated(rows.select(ROW, "text", "lang"), entries)
+    return rows.select(ROW, "doc_id").join(rated, ROW).drop(ROW)
+
+
+def keep_good(docs: DataFrame, entries: int = SHARD_ENTRIES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    narrow = docs.select("text", "lang")
-    rules = QualityRules(narrow)
-    stats = "q"
-    while stats in {c.lower() for c in docs.columns}:
-        stats = "_" + stats
-    bands = rules.bands(stage(rules.statistics(narrow, "q").select("q"), "llm-rated"), "q")
-    return rules.statistics(docs, stats).filter(rules.kept(stats, bands)).drop(stats)
+    rows = carried(docs)
+    good = _rated(rows.select(ROW, "text", F.col("_rest.lang").alias("lang")), entries).filter("kept").select(ROW)
+    return restored(rows.join(good, ROW, "left_semi"), docs)

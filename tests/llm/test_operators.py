@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -199,13 +200,46 @@ def test_quality_statistics_and_verdicts(spark, docs, texts):
     assert sum(r["kept"] for r in rest) > 0.85 * len(rest)
 
 
-def test_the_model_is_a_distribution(docs):
-    narrow = docs.select("text", "lang")
-    languages = perplexity.frequent_languages(narrow)
-    arrays = perplexity.sorted_arrays(perplexity.train(narrow, languages))
-    p = 2.0 ** (-perplexity.costs(arrays, 0) / perplexity.UNIT)
-    assert np.allclose(p.reshape(-1, 32).sum(axis=1), 1, atol=1e-3)
-    assert all((np.diff(codes) > 0).all() for codes, _, _ in arrays.values())
+def brute_kneser_ney(texts, order=5):
+    """The probability of the last byte of each n-gram of the texts after the others."""
+    counts = {order: Counter(t[i : i + order] for t in texts for i in range(len(t) - order + 1))}
+    for size in range(order - 1, 0, -1):
+        counts[size] = Counter(gram[1:] for gram in counts[size + 1])
+    p = {b"": 1 / 256}
+    for size in range(1, order + 1):
+        own = counts[size]
+        n = [0, *(sum(c == i for c in own.values()) for i in (1, 2, 3, 4))]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else None
+        cut = [0.0] + [max(0.0, i - (i + 1) * y * n[i + 1] / n[i]) if n[i] and y is not None else 0.5 for i in (1, 2, 3)]
+        whole, spared = Counter(), Counter()
+        for gram, c in own.items():
+            whole[gram[:-1]] += c
+            spared[gram[:-1]] += cut[min(c, 3)]
+        p |= {g: max(c - cut[min(c, 3)], 0) / whole[g[:-1]] + spared[g[:-1]] / whole[g[:-1]] * p[g[1:]] for g, c in own.items()}
+    return p
+
+
+def test_perplexity_equals_brute_force_whatever_the_shards(docs):
+    rows = docs.select("doc_id", "text", "lang").collect()
+    wanted = {}
+    for lang in {r["lang"] for r in rows}:
+        own = {r["doc_id"]: (r["text"] or "").encode() for r in rows if r["lang"] == lang}
+        p = brute_kneser_ney(list(own.values()))
+        for doc, t in own.items():
+            bits = [-np.log2(p[t[i : i + 5]]) for i in range(len(t) - 4)]
+            wanted[doc] = 2 ** np.mean(bits) if bits else None
+    whole = {r["doc_id"]: r for r in perplexity.rate_documents(docs).collect()}
+    assert {d: r["perplexity"] for d, r in whole.items()} == {d: w and pytest.approx(w, rel=1e-4) for d, w in wanted.items()}
+    assert {r["doc_id"]: r for r in perplexity.rate_documents(docs, 10_000).collect()} == whole
+
+
+def test_counting_passes_on_what_it_cannot_hold(monkeypatch):
+    batch = pa.RecordBatch.from_pylist([{"_id": i, "text": f"{LINE} {i}" * 9, "lang": None} for i in range(50)])
+    whole = pa.Table.from_batches(list(perplexity._count([])(iter([batch] * 4)))).to_pandas()
+    monkeypatch.setattr(perplexity, "HELD_ENTRIES", 50)
+    parts = pa.Table.from_batches(list(perplexity._count([])(iter([batch] * 4)))).to_pandas()
+    assert len(parts) > len(whole)
+    assert parts.groupby("code")["n"].sum().to_dict() == whole.set_index("code")["n"].to_dict()
 
 
 def test_packing_is_whole_and_tight(spark, texts):
