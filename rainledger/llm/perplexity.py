@@ -146,9 +146,10 @@ def sorted_shards(model: DataFrame, entries: int) -> Iterator[tuple[np.ndarray,
     known = model.select(key.alias("key"), cost.alias("cost"))
     shards = max(1, -(-known.count() // entries))
     for i in range(shards):
-        rows = known.filter(F.pmod(F.xxhash64("key"), F.lit(shards)) == i).toPandas()
-        order = np.argsort(rows["key"].to_numpy())
-        yield rows["key"].to_numpy()[order], rows["cost"].to_numpy()[order]
+        rows = known.filter(F.pmod(F.xxhash64("key"), F.lit(shards)) == i).toArrow()
+        keys, costs = (rows.column(c).to_numpy() for c in ("key", "cost"))
+        order = np.argsort(keys)
+        yield keys[order], costs[order]
 
 
 def _cost(languages: list[str], source: Broadcast):
