@@ -93,13 +93,12 @@ def _blocks(spread: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def spare_blocks(shingles: np.ndarray) -> list[dict[str, int]]:
-    """For each band: how many of the blocks that a set sends can be ignored. Empty ones that it doesn't send are ignored
-    already; where it sends them, they come first."""
+    """For each band: how many of a set's blocks that aren't empty can be ignored. Its empty ones count as ignored first, sent or
+    not: a partner that doesn't send its own shares them all the same."""
     found = []
     for band, blocks, spare in blocks_of(len(shingles)):
         used = len(np.unique(_blocks(grams.mix(shingles, 100 + band), blocks)))
-        unsent = blocks - used if blocks - used <= spare else 0
-        found.append({"band": band, "spare": spare - unsent})
+        found.append({"band": band, "spare": max(0, spare - (blocks - used))})
     return found
 
 
@@ -213,7 +212,8 @@ def _without_spares(rows: DataFrame, sums: DataFrame) -> DataFrame:
     """``rows`` (key, member, component) without the most frequent keys of each member, as many as it can spare.
 
     Linked documents share more blocks than they can spare, so in any one order of all blocks they still share one when
-    each leaves out its last ones: empty blocks, then those that most documents share (a common line, say).
+    each leaves out its last ones: empty blocks, then those that most documents share (a common line, say). A set with more
+    empty blocks than it can spare sends them and leaves out none.
     """
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_count"))
     spares = sums.select(F.col(ROW).alias("member"), F.explode("spares").alias("s")).select("member", F.col("s.band").alias("band"), "s.spare")

@@ -1,6 +1,7 @@
 """The operators against brute force on the smallest tables, and on awkward rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -158,6 +159,21 @@ def test_parity_join_in_families_that_differ_too_much(spark, rounds, monkeypatch
     assert found == brute_components(texts)
 
 
+def test_parity_join_in_small_families_whose_first_document_is_too_far(spark):
+    texts, wanted = [], {}
+    for family in [*range(200), 12021, 50742, 91217, 110941, 113327, 176714]:  # in the last six, one of a pair sends empty blocks
+        rng = random.Random(family)
+        words = [f"f{family}w{i}" for i in range(30)]
+        n = rng.randint(8, 20)
+        own = [" ".join(words[5 - rng.randint(0, 5) : 5 + n - rng.randint(0, 4)]) for _ in range(3)]
+        own = [(len(texts) + i, text) for i, text in enumerate(own)]
+        texts += own
+        wanted |= brute_components(own)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: tuple(r)[1:] for r in parity_join.similar_components(docs).collect()}
+    assert found == wanted
+
+
 def test_rare_shingles_meet_in_every_linked_pair(spark):
     rng = np.random.default_rng(7)
     sets = {}
