@@ -19,6 +19,7 @@ repeat an id, or have none, are rated each by itself. Other columns pass through
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from ..sinks.staging import stage
 from . import grams
 from .rows import ROW, carried, identified, restored
 
-ORDER, BITS, MODELS = 5, 8, 8
+ORDER, BITS, MODELS, FOLDS = 5, 8, 8, 2
 #: N-grams in one broadcast (12 bytes each), and in a counting task before it passes them on.
 SHARD_ENTRIES, HELD_ENTRIES = 1 << 22, 1 << 22
 FENCE, SLACK, BAND_STEPS = 3, 0.05, 256
@@ -50,8 +51,11 @@ def _codes(data: np.ndarray) -> np.ndarray:
 
 
 def _keys(batch: pa.RecordBatch, languages: list[str]) -> Iterator[tuple[grams.Chunk, np.ndarray, np.ndarray]]:
-    """Each chunk of a batch (ROW, text, lang), where its n-grams begin, and their codes with the model before them."""
-    own, at = _models(batch.column("lang"), languages), 0
+    """Each chunk of a batch (ROW, text, lang, fold), where its n-grams begin, and their codes with language and fold before
+    them. Without folds all documents are in the first."""
+    own, at = _models(batch.column("lang"), languages) * FOLDS, 0
+    if "fold" in batch.schema.names:
+        own = own + batch.column("fold").to_numpy()
     for chunk in grams.chunks(batch, ROW, "text"):
         model = np.repeat(own[at : at + len(chunk.ids)], np.diff(chunk.bounds))
         at += len(chunk.ids)
@@ -102,10 +106,34 @@ def frequent_languages(docs: DataFrame) -> list[str]:
     return [r["lang"] for r in rows.limit(MODELS - 1).collect()]
 
 
+def _cost_of(p: Column) -> Column:
+    """Minus log2 of a probability in units."""
+    return F.round(-F.log2(F.greatest(p, F.lit(1e-12))) * UNIT).cast("int")
+
+
+def _entry(model, context: int, size: int, code):
+    """The key of an n-gram of up to ``ORDER`` bytes, or of a context, in a model: a one before the code tells the size."""
+    return (model << (ORDER * BITS + 2)) | (context << (ORDER * BITS + 1)) | (1 << (size * BITS)) | code
+
+
 def train(docs: DataFrame, languages: list[str]) -> DataFrame:
-    """model, code, p: the probability of the last byte of each n-gram of the documents (ROW, text, lang) after the others, all
-    orders interpolated."""
+    """key, cost: the entries of each language's models of the documents (ROW, text, lang, fold), all orders interpolated.
+
+    Each language has ``FOLDS + 1`` models. The first counts all its documents, and has what the last byte of each n-gram of
+    ``ORDER`` bytes costs after the others. Model ``1 + f`` counts those outside of fold f. It has, of every size, what a context costs on
+    the way to the next shorter one, and what an n-gram costs more (or less) than that way: a byte costs BITS, and the sum of
+    all entries found for it.
+    """
     counted = docs.mapInArrow(_count(languages), "model int, code long, n long")
+    outside = F.explode(F.expr(f"filter(sequence(0, {FOLDS}), v -> v <> 1 + model % {FOLDS})"))
+    counted = counted.select(F.expr(f"model DIV {FOLDS} * {FOLDS + 1}").alias("first"), outside.alias("v"), "code", "n")
+    counted = counted.select((F.col("first") + F.col("v")).cast("int").alias("model"), "code", "n")
+    entries, held_out = [], F.col("model") % (FOLDS + 1) > 0
+
+    def entry(context: int, size: int, code: str) -> Column:
+        key = F.shiftleft(F.col("model").cast("long"), ORDER * BITS + 2).bitwiseOR(F.col(code))
+        return key.bitwiseOR(F.lit(_entry(0, context, size, 0)).cast("long")).alias("key")
+
     counts = {ORDER: stage(counted.groupBy("model", "code").agg(F.sum("n").alias("n")), "llm-ngrams")}
     for size in range(ORDER - 1, 0, -1):
         ending = F.col("code").bitwiseAND((1 << (size * BITS)) - 1).alias("code")
@@ -128,22 +156,26 @@ def train(docs: DataFrame, languages: list[str]) -> DataFrame:
         )
         share = share.join(seen.select("model", *discount), "model")
         gamma = (F.col("c1") * F.col("d1") + F.col("c2") * F.col("d2") + F.col("c3") * F.col("d3")) / F.col("all")
-        rows = rows.join(share.select("model", "context", "all", gamma.alias("gamma")), ["model", "context"])
+        share = stage(share.select("model", "context", "all", gamma.alias("gamma")), "llm-contexts")
+        entries.append(share.filter(held_out).select(entry(1, size - 1, "context"), _cost_of(F.col("gamma")).alias("cost")))
+        rows = rows.join(share, ["model", "context"])
         if lower is None:
             rows = rows.withColumn("p_below", F.lit(1.0 / (1 << BITS)))
         else:
             below = F.col("code").bitwiseAND((1 << ((size - 1) * BITS)) - 1)
             rows = rows.withColumn("below", below).join(lower.toDF("model", "below", "p_below"), ["model", "below"])
         p = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("all") + F.col("gamma") * F.col("p_below")
-        lower = stage(rows.select("model", "code", p.alias("p")), "llm-probabilities")
-    return lower
+        lower = stage(rows.select("model", "code", p.alias("p"), "gamma", "p_below"), "llm-probabilities")
+        whole = _cost_of(F.col("p"))
+        more = whole - _cost_of(F.col("gamma")) - _cost_of(F.col("p_below"))
+        own = lower if size == ORDER else lower.filter(held_out)
+        entries.append(own.select(entry(0, size, "code"), F.when(held_out, more).otherwise(whole).alias("cost")))
+        lower = lower.select("model", "code", "p")
+    return reduce(DataFrame.union, entries)
 
 
-def sorted_shards(model: DataFrame, entries: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted n-grams (with their model) and their costs, minus log2 of the probability in units: shards of about ``entries``."""
-    key = F.shiftleft(F.col("model").cast("long"), ORDER * BITS).bitwiseOR(F.col("code"))
-    cost = F.round(-F.log2(F.greatest("p", F.lit(1e-12))) * UNIT).cast("int")
-    known = model.select(key.alias("key"), cost.alias("cost"))
+def sorted_shards(known: DataFrame, entries: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted keys and their costs: shards of about ``entries``."""
     shards = max(1, -(-known.count() // entries))
     for i in range(shards):
         rows = known.filter(F.pmod(F.xxhash64("key"), F.lit(shards)) == i).toArrow()
@@ -152,19 +184,39 @@ def sorted_shards(model: DataFrame, entries: int) -> Iterator[tuple[np.ndarray,
         yield keys[order], costs[order]
 
 
+def _found(source: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """What one shard has for each key, or 0."""
+    known, costs = source
+    if not len(known):
+        return np.zeros(len(keys), dtype=np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, costs[at], 0).astype(np.int64)
+
+
+def _backed_off(source: tuple[np.ndarray, np.ndarray], model: np.ndarray, code: np.ndarray, size: int = ORDER) -> np.ndarray:
+    """What one shard has for the last byte of each n-gram and for all its contexts."""
+    cost = _found(source, _entry(model, 0, size, code)) + _found(source, _entry(model, 1, size - 1, code >> BITS))
+    if size > 1:
+        shorter = (model << (ORDER * BITS)) | (code & ((1 << ((size - 1) * BITS)) - 1))
+        below, place = np.unique(shorter, return_inverse=True)
+        cost += _backed_off(source, below >> (ORDER * BITS), below & ((1 << (ORDER * BITS)) - 1), size - 1)[place]
+    return cost
+
+
 def _cost(languages: list[str], source: Broadcast):
-    """Of each document: what its n-grams in one shard cost."""
+    """Of each document: what its n-grams in one shard cost, by all documents and by those outside of its fold."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, costs = source.value
         for batch in batches:
             for chunk, begins, keys in _keys(batch, languages):
-                each = np.zeros(len(chunk.data), dtype=np.int64)
-                if len(known) and len(keys):
-                    asked, place = np.unique(keys, return_inverse=True)
-                    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-                    each[begins] = np.where(known[at] == asked, costs[at], 0)[place]
-                yield pa.RecordBatch.from_arrays([pa.array(chunk.ids), pa.array(_per_doc(each, chunk.bounds))], names=[ROW, "cost"])
+                each = np.zeros((2, len(chunk.data)), dtype=np.int64)
+                asked, place = np.unique(keys, return_inverse=True)
+                own, code = asked >> (ORDER * BITS), asked & ((1 << (ORDER * BITS)) - 1)
+                first = own // FOLDS * (FOLDS + 1)
+                each[0, begins] = _found(source.value, _entry(first, 0, ORDER, code))[place]
+                each[1, begins] = _backed_off(source.value, first + 1 + own % FOLDS, code)[place]
+                sums = [pa.array(_per_doc(x, chunk.bounds)) for x in each]
+                yield pa.RecordBatch.from_arrays([pa.array(chunk.ids), *sums], names=[ROW, "cost", "held_out"])
 
     return read
 
@@ -243,15 +295,15 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def bits() -> Column:
+def bits(cost: str = "cost") -> Column:
     """Mean bits of a byte; null without n-grams."""
-    return F.col("cost") / F.nullif(F.col("n_grams"), F.lit(0)) / UNIT
+    return F.col(cost) / F.nullif(F.col("n_grams"), F.lit(0)) / UNIT
 
 
 def bands(rated: DataFrame) -> dict[int, tuple[float, float]]:
     """The lowest and highest mean bits allowed by model."""
     passed = rated.filter(~base_failed() & (F.col("n_grams") > 0))
-    counts = passed.groupBy("model", F.floor(bits() * BAND_STEPS).alias("step")).count()
+    counts = passed.groupBy("model", F.floor(bits("held_out") * BAND_STEPS).alias("step")).count()
     by = Window.partitionBy("model").orderBy("step")
     share = F.sum("count").over(by) / F.sum("count").over(Window.partitionBy("model"))
     quarter = lambda q: F.min(F.when(F.col("share") >= q, F.col("step"))) / BAND_STEPS
@@ -266,23 +318,27 @@ def bands(rated: DataFrame) -> dict[int, tuple[float, float]]:
 def _rated(docs: DataFrame, entries: int) -> DataFrame:
     """ROW, the statistics, base_failed, perplexity and kept of documents (ROW, text, lang)."""
     languages, context = frequent_languages(docs), docs.sparkSession.sparkContext
+    # Equal texts are in one fold.
+    docs = docs.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
     costs = None
     for shard in sorted_shards(train(docs, languages), entries):
         source = context.broadcast(shard)
-        known = stage(docs.mapInArrow(_cost(languages, source), f"{ROW} long, cost long"), "llm-costs")
+        known = stage(docs.mapInArrow(_cost(languages, source), f"{ROW} long, cost long, held_out long"), "llm-costs")
         source.unpersist()
-        costs = known if costs is None else stage(costs.union(known).groupBy(ROW).agg(F.sum("cost").alias("cost")), "llm-costs")
+        costs = known if costs is None else stage(costs.union(known).groupBy(ROW).agg(F.sum("cost").alias("cost"), F.sum("held_out").alias("held_out")), "llm-costs")
     kinds = ", ".join(f"{c} long" for c in STATS)
     measured = docs.mapInArrow(_measure(languages), f"{ROW} long, {kinds}, model int, n_grams long")
-    rated = stage(measured.join(costs, ROW), "llm-rated")
+    held_out = F.col("held_out") + F.col("n_grams") * (BITS * UNIT)
+    rated = stage(measured.join(costs, ROW).withColumn("held_out", held_out), "llm-rated")
     inside = F.lit(False)
     for model, (low, high) in bands(rated).items():
-        inside = inside | ((F.col("model") == model) & bits().between(low, high))
+        inside = inside | ((F.col("model") == model) & bits("held_out").between(low, high))
     return rated.select(
         ROW,
         *STATS,
         base_failed().alias("base_failed"),
         F.pow(F.lit(2.0), bits()).alias("perplexity"),
+        F.pow(F.lit(2.0), bits("held_out")).alias("held_out_perplexity"),
         F.coalesce(~base_failed() & inside, F.lit(False)).alias("kept"),
     )
 

@@ -249,6 +249,59 @@ def test_perplexity_equals_brute_force_whatever_the_shards(docs):
     assert {r["doc_id"]: r for r in perplexity.rate_documents(docs, 10_000).collect()} == whole
 
 
+def brute_backed_off(texts, order=5):
+    """A function that tells the probability of the last byte of any n-gram after the others, by the counts of the texts."""
+    counts = {order: Counter(t[i : i + order] for t in texts for i in range(len(t) - order + 1))}
+    for size in range(order - 1, 0, -1):
+        counts[size] = Counter(gram[1:] for gram in counts[size + 1])
+    cuts, after = {}, {}
+    for size, own in counts.items():
+        n = Counter(own.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else None
+        cuts[size] = [0.5 if y is None or not n[i] else max(0.0, i - (i + 1) * y * n[i + 1] / n[i]) for i in (1, 2, 3)]
+        for gram, c in own.items():
+            after.setdefault(gram[:-1] + b"|" + bytes([size]), []).append(c)
+
+    def p(gram):
+        size = len(gram)
+        if not size:
+            return 1 / 256
+        known = after.get(gram[:-1] + b"|" + bytes([size]))
+        if not known:
+            return p(gram[1:])
+        cut, c = cuts[size], counts[size][gram]
+        gamma = max(1e-12, sum(cut[min(k, 3) - 1] for k in known) / sum(known))
+        return (max(c - cut[min(c, 3) - 1], 0) / sum(known) if c else 0) + gamma * p(gram[1:])
+
+    return p
+
+
+def test_held_out_perplexity_equals_brute_force(docs):
+    docs = docs.limit(150)
+    fold = F.pmod(F.xxhash64("text"), F.lit(perplexity.FOLDS))
+    rows = docs.select("doc_id", "text", "lang", fold.alias("fold")).collect()
+    found = {r["doc_id"]: r["held_out_perplexity"] for r in perplexity.rate_documents(docs, 50_000).collect()}
+    for lang, fold in {(r["lang"], r["fold"]) for r in rows}:
+        own = [r for r in rows if r["lang"] == lang]
+        p = brute_backed_off([(r["text"] or "").encode() for r in own if r["fold"] != fold])
+        for r in [r for r in own if r["fold"] == fold][:10]:
+            t = (r["text"] or "").encode()
+            bits = [-np.log2(p(t[i : i + 5])) for i in range(len(t) - 4)]
+            assert found[r["doc_id"]] == (2 ** np.mean(bits) if bits else None) or found[r["doc_id"]] == pytest.approx(2 ** np.mean(bits), rel=1e-3)
+
+
+@pytest.mark.parametrize("share", [0.01, 0.05, 0.15])
+def test_planted_gibberish_is_not_kept(spark, docs, share):
+    rng, letters = np.random.default_rng(10), np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    prose = docs.filter("lang = 'en'").select("doc_id", "text", "lang").collect()
+    junk = [" ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(200)) for _ in range(max(2, int(share * len(prose))))]
+    rows = [tuple(r) for r in prose] + [(-1 - i, text, "en") for i, text in enumerate(junk)]
+    found = perplexity.rate_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert not [r["doc_id"] for r in found if r["doc_id"] < 0 and r["kept"]]
+    rest = [r["kept"] for r in found if r["doc_id"] >= 0 and not r["base_failed"]]
+    assert sum(rest) > 0.85 * len(rest)
+
+
 def test_counting_passes_on_what_it_cannot_hold(monkeypatch):
     batch = pa.RecordBatch.from_pylist([{"_id": i, "text": f"{LINE} {i}" * 9, "lang": None} for i in range(50)])
     whole = pa.Table.from_batches(list(perplexity._count([])(iter([batch] * 4)))).to_pandas()
