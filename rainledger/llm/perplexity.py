@@ -2,13 +2,15 @@
 
 The model is modified Kneser-Ney of order 5 over UTF-8 bytes. Spark counts the n-grams of all documents, every one of them, and
 derives continuation counts, discounts and back-off weights by grouping and joining; a context or a suffix has 256 n-grams at most,
-so no key of these joins is hot. The number of n-grams grows with the corpus. They are dealt by hash into shards of about
-``SHARD_ENTRIES``; each shard is one pair of sorted arrays (n-gram, cost), broadcast by itself, and the documents are read once for each
-shard, which adds what it knows. So a task holds one shard, however large the model is. The documents rated are those that
-were counted, so each of their n-grams is in just one shard. The ``MODELS - 1`` most frequent languages have a model and
-bands of their own, all others and null share one.
+so no key of these joins is hot. Every language has models and bands of its own, and null is a language too. A language's
+documents are dealt into ``FOLDS`` folds by a hash of the text, so copies are in one. ``perplexity`` goes by the counts of all of them,
+``held_out_perplexity`` by those of the other folds: a text says nothing for itself, and unseen n-grams back off to shorter ones.
 
-A document is kept if it has at least 50 words, at most half of them in repeated 3-word windows, and a perplexity
+The number of entries grows with the corpus. They are dealt by hash into shards of about ``SHARD_ENTRIES``; each shard is one pair
+of sorted arrays (key, cost), broadcast by itself, and the documents are read once for each shard, which adds what it knows. So
+a task holds one shard, however large the models are. Entries only add up, so it doesn't matter which shard has which.
+
+A document is kept if it has at least 50 words, at most half of them in repeated 3-word windows, and a held-out perplexity
 within its language's bands. The bands are the outer fences (quartiles -+ ``FENCE`` times their distance, and ``SLACK`` bits) of the
 documents that pass the first two rules. All sums are whole numbers, so results don't depend on how rows are dealt.
 
@@ -23,6 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +34,7 @@ from ..sinks.staging import stage
 from . import grams
 from .rows import ROW, carried, identified, restored
 
-ORDER, BITS, MODELS, FOLDS = 5, 8, 8, 2
+ORDER, BITS, FOLDS = 5, 8, 2
 #: N-grams in one broadcast (12 bytes each), and in a counting task before it passes them on.
 SHARD_ENTRIES, HELD_ENTRIES = 1 << 22, 1 << 22
 FENCE, SLACK, BAND_STEPS = 3, 0.05, 256
@@ -97,13 +100,16 @@ def _count(languages: list[str]):
 
 
 def _models(column: pa.Array, languages: list[str]) -> np.ndarray:
-    place = {language: i for i, language in enumerate(languages)}
-    return np.array([place.get(x, len(languages)) for x in column.to_pylist()], dtype=np.int32)
+    """The place of each row's language; null comes after all others."""
+    place = pa.compute.index_in(column.cast(pa.string()), value_set=pa.array(languages, pa.string()))
+    return place.fill_null(len(languages)).to_numpy(zero_copy_only=False)
 
 
-def frequent_languages(docs: DataFrame) -> list[str]:
-    rows = docs.filter(F.col("lang").isNotNull()).groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    return [r["lang"] for r in rows.limit(MODELS - 1).collect()]
+def all_languages(docs: DataFrame) -> list[str]:
+    found = sorted(r["lang"] for r in docs.filter(F.col("lang").isNotNull()).select("lang").distinct().collect())
+    if (len(found) + 1) * (FOLDS + 1) > 1 << (61 - ORDER * BITS):
+        raise ValueError(f"{len(found)} languages: keys have no room for so many models")
+    return found
 
 
 def _cost_of(p: Column) -> Column:
@@ -300,24 +306,21 @@ def bits(cost: str = "cost") -> Column:
     return F.col(cost) / F.nullif(F.col("n_grams"), F.lit(0)) / UNIT
 
 
-def bands(rated: DataFrame) -> dict[int, tuple[float, float]]:
-    """The lowest and highest mean bits allowed by model."""
+def bands(rated: DataFrame) -> DataFrame:
+    """model, low, high: the lowest and highest mean bits allowed."""
     passed = rated.filter(~base_failed() & (F.col("n_grams") > 0))
     counts = passed.groupBy("model", F.floor(bits("held_out") * BAND_STEPS).alias("step")).count()
     by = Window.partitionBy("model").orderBy("step")
     share = F.sum("count").over(by) / F.sum("count").over(Window.partitionBy("model"))
     quarter = lambda q: F.min(F.when(F.col("share") >= q, F.col("step"))) / BAND_STEPS
     rows = counts.withColumn("share", share).groupBy("model").agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"))
-    found = {}
-    for r in rows.collect():  # MODELS rows at most
-        reach = FENCE * (r["q3"] - r["q1"]) + SLACK
-        found[r["model"]] = r["q1"] - reach, r["q3"] + reach
-    return found
+    reach = FENCE * (F.col("q3") - F.col("q1")) + SLACK
+    return rows.select("model", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
 
 
 def _rated(docs: DataFrame, entries: int) -> DataFrame:
     """ROW, the statistics, base_failed, perplexity and kept of documents (ROW, text, lang)."""
-    languages, context = frequent_languages(docs), docs.sparkSession.sparkContext
+    languages, context = all_languages(docs), docs.sparkSession.sparkContext
     # Equal texts are in one fold.
     docs = docs.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
     costs = None
@@ -330,10 +333,8 @@ def _rated(docs: DataFrame, entries: int) -> DataFrame:
     measured = docs.mapInArrow(_measure(languages), f"{ROW} long, {kinds}, model int, n_grams long")
     held_out = F.col("held_out") + F.col("n_grams") * (BITS * UNIT)
     rated = stage(measured.join(costs, ROW).withColumn("held_out", held_out), "llm-rated")
-    inside = F.lit(False)
-    for model, (low, high) in bands(rated).items():
-        inside = inside | ((F.col("model") == model) & bits("held_out").between(low, high))
-    return rated.select(
+    inside = bits("held_out").between(F.col("low"), F.col("high"))
+    return rated.join(F.broadcast(bands(rated)), "model", "left").select(
         ROW,
         *STATS,
         base_failed().alias("base_failed"),

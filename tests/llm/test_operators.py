@@ -302,6 +302,17 @@ def test_planted_gibberish_is_not_kept(spark, docs, share):
     assert sum(rest) > 0.85 * len(rest)
 
 
+def test_each_language_is_judged_by_itself(spark, docs):
+    texts = [r["text"] for r in docs.filter("length(text) > 300").limit(140).collect()]
+    rows = [(i, text[:400], None if i < 9 else f"l{int(i**0.5)}") for i, text in enumerate(texts)]  # the greater, the more frequent
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len({r[2] for r in rows}) == 10
+    whole = {r["doc_id"]: r for r in perplexity.rate_documents(table).collect()}
+    for own in (F.col("lang") == "l3", F.col("lang").isNull()):
+        alone = perplexity.rate_documents(table.filter(own)).collect()
+        assert alone and all(whole[r["doc_id"]] == r for r in alone)
+
+
 def test_counting_passes_on_what_it_cannot_hold(monkeypatch):
     batch = pa.RecordBatch.from_pylist([{"_id": i, "text": f"{LINE} {i}" * 9, "lang": None} for i in range(50)])
     whole = pa.Table.from_batches(list(perplexity._count([])(iter([batch] * 4)))).to_pandas()
