@@ -2,7 +2,7 @@
 
 Positions are ranked by ever longer prefixes: 32 bytes at the sampled positions of ``repeats``, then
 the whole segment around them, then, for what is still neither unique nor settled, the threshold itself as
-the pair of the ranks of 64 bytes at a position and at its offset. Spark sorts each round; positions that
+the pair of the ranks of 64 bytes at a position and of the bytes after them (64 at least, so below 128 the two overlap). Spark sorts each round; positions that
 are unique leave. A rank is a content's 64-bit name, so a pair needs no look-up at the offset; the last round compares
 128 bits. Sorting every byte position in every round would move about 16 times the text each time;
 the sampled positions find the same repeats (``tests/llm`` compares them with brute force).
@@ -48,7 +48,7 @@ def _segments(threshold: int):
 
 
 def _contested_windows(threshold: int):
-    """Every window of the contested segments, named by the ranks of its two halves."""
+    """Every window of the contested segments, named by the ranks of its two parts, which have all of its bytes."""
     half = min(threshold, 2 * GRAM)
 
     def find(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
@@ -65,10 +65,10 @@ def _contested_windows(threshold: int):
             starts = np.repeat(place >> 16, counts) + inner
             codes = grams.RangeHashes(grams.byte_codes(chunk.data))
             begin = chunk.bounds[doc] + starts
-            late = begin + threshold - half
+            late = begin + min(half, threshold - half)
             yield {
                 "name": codes.of(begin, begin + half).view(np.int64),
-                "seg": grams.mix(codes.of(late, late + half), 13).view(np.int64),
+                "seg": grams.mix(codes.of(late, begin + threshold), 13).view(np.int64),
                 ROW: chunk.ids[doc],
                 "place": starts << 16,
             }

@@ -66,6 +66,26 @@ def test_suffix_array_removes_what_brute_force_does(spark, docs, texts):
         assert found[doc]["n_spans"] == len(re.findall(b"\1+", bytes(gone)))
 
 
+def test_suffix_array_compares_all_bytes_of_long_windows(spark):
+    rng = np.random.default_rng(9)
+    base = "".join(chr(c) for c in rng.integers(97, 123, 600))
+    texts = []
+    for doc in range(40):  # around a shared passage, each with other bytes in its middle
+        at = int(rng.integers(270, 330))
+        middle = base[:at] + f"{doc:04}" + base[at + 4 :]
+        cut = int(rng.integers(0, 100))
+        texts.append((doc, middle[cut : 600 - int(rng.integers(0, 100))]))
+    seen, wanted = set(), {}
+    for doc, text in texts:
+        data, gone = text.encode(), np.zeros(len(text), dtype=bool)
+        for i in range(len(data) - 199):
+            gone[i : i + 200] |= data[i : i + 200] in seen
+            seen.add(data[i : i + 200])
+        wanted[doc] = bytes(b for b, g in zip(data, gone) if not g)
+    found = suffix_array.remove_repeated_bytes(spark.createDataFrame(texts, "doc_id long, text string"), 200)
+    assert {r["doc_id"]: bytes(r["kept"]) for r in found.collect()} == wanted
+
+
 def brute_words(texts, window=13):
     seen, out = set(), {}
     for doc, text in texts:
