@@ -3,7 +3,7 @@
 import corpus_pipeline
 from conftest import SMALL
 from rainledger.sinks.staging import stage
-from test_operators import brute_components, brute_words
+from test_llm_operators import brute_components, brute_words
 
 
 def test_stages_take_effect(spark):
