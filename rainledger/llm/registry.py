@@ -10,7 +10,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, packing, parity_join, perplexity, sharding, suffix_array, suffix_automaton, topk, warc, word_bpe
+from . import (
+    licences,
+    merkle,
+    packing,
+    parity_join,
+    perplexity,
+    segment_bpe,
+    sharding,
+    suffix_array,
+    suffix_automaton,
+    topk,
+    warc,
+    whitening,
+    word_bpe,
+)
 
 _shipped: set[str] = set()
 
@@ -98,6 +112,24 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.rate_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    done = segment_bpe.encode_and_decode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return done.select(
+        "doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -111,6 +143,9 @@ QUERIES = {
         op8_warc_derivatives,
         op9_suffix_array_dedup,
         op10_ngram_perplexity,
+        op11_bit_sliced_whitening,
+        op12_segment_tree_bpe,
+        op13_merkle_manifest,
     )
 }
 ORACLES: dict[str, str] = {
