@@ -28,8 +28,8 @@ def exact_mean(value: Column) -> Column:
 
     The sum holds 14 digits before and 12 after the point; a larger value raises an error.
     """
-    total = F.sum(value.cast("decimal(26,12)")).cast("double")
-    return total / F.nullif(F.count(value), F.lit(0))
+    exact = value.cast("decimal(26,12)")
+    return F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))
 
 
 def margin_percent(price: Column, cost: Column, *, guard: bool = True) -> Column:

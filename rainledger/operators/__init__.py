@@ -11,7 +11,7 @@ from .quality import (
     layer_counts,
     null_profile,
 )
-from .ranking import Tile, global_ntile, keep_first, surrogate_key
+from .ranking import Tile, global_ntile, keep_first, surrogate_key, with_position
 from .rolling import rolling_sums
 
 __all__ = [
@@ -29,4 +29,5 @@ __all__ = [
     "null_profile",
     "rolling_sums",
     "surrogate_key",
+    "with_position",
 ]

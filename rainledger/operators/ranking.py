@@ -52,7 +52,15 @@ def _pieces(numbered: DataFrame, groups: Sequence[str] = ()) -> list[Row]:
 def surrogate_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Add ``ROW_NUMBER() OVER (ORDER BY order, remaining columns)`` as bigint ``name``."""
     sequence = [F.col(c).asc_nulls_last() for c in [*order, *(c for c in df.columns if c not in order)]]
-    numbered = _numbered(df, sequence)
+    return _counted_off(_numbered(df, sequence), df.columns, name)
+
+
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """Number the rows of a sorted frame in the order it has, from 1, as bigint ``name``; nothing is sorted again."""
+    return _counted_off(stage(df.withColumn("_row", F.monotonically_increasing_id()), "sorted"), df.columns, name)
+
+
+def _counted_off(numbered: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     pieces = _pieces(numbered)
     if len(pieces) <= 1:
         first = pieces[0]["first"] if pieces else 0
@@ -63,9 +71,9 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
         "shift": [seen - piece["first"] + 1 for seen, piece in zip(before, pieces)],
     }
     # One row per partition of the sort, hence safe to broadcast.
-    offsets = F.broadcast(df.sparkSession.createDataFrame(pa.table(shifts)))
+    offsets = F.broadcast(numbered.sparkSession.createDataFrame(pa.table(shifts)))
     placed = numbered.withColumn("part", F.shiftright("_row", _ROW_BITS)).join(offsets, "part")
-    return placed.withColumn(name, F.col("_row") + F.col("shift")).select(*df.columns, name)
+    return placed.withColumn(name, F.col("_row") + F.col("shift")).select(*columns, name)
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,7 @@ from .sales import completed, declared, territory_names
 
 QUARTILES = 4
 
-_INT, _TEXT, _AMOUNT = T.IntegerType(), T.StringType(), T.DecimalType(15, 2)
+_INT, _AMOUNT, _text = T.IntegerType(), T.DecimalType(15, 2), T.VarcharType
 
 # Declared types of the first variant.
 TYPED_V1_ORDERS = declared(
@@ -27,15 +27,15 @@ TYPED_V1_ORDERS = declared(
     CustomerID=_INT,
     OrderDate=T.TimestampNTZType(),
     TerritoryID=_INT,
-    TerritoryName=_TEXT,
+    TerritoryName=_text(100),
     OrderAmount=_AMOUNT,
-    CustomerName=_TEXT,
+    CustomerName=_text(255),
 )
 TYPED_V1_FACT = declared(
     ["CustomerID"],
     CustomerID=_INT,
-    CustomerName=_TEXT,
-    TerritoryName=_TEXT,
+    CustomerName=_text(255),
+    TerritoryName=_text(100),
     Recency=_INT,
     Frequency=_INT,
     Monetary=_AMOUNT,
@@ -43,7 +43,7 @@ TYPED_V1_FACT = declared(
     F_Score=_INT,
     M_Score=_INT,
     RFM_Score=_INT,
-    Segment=_TEXT,
+    Segment=_text(50),
     LoadTimestamp=T.TimestampType(),
 )
 

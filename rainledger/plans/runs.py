@@ -10,17 +10,18 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from ..jobs import in_parallel
 from ..operators.quality import assert_not_all_null, assert_unique
-from ..sinks.partitions import write_partition, write_table
+from ..sinks.partitions import write_landing_json, write_partition, write_table
 from ..sinks.staging import stage, staging_scope
 from ..sinks.tables import ensure_schemas, recreate_views, replace_typed
 from ..sources.files import assert_readable, read_landing_json, read_partition
 from ..sources.fixed import DATASETS
 from ..sources.ingest import CUSTOMER_TABLES, SALES_TABLES, TableSpec
+from ..sources.payload import flatten_daily_payload
 from . import rfm, sales, weather
 
 log = logging.getLogger(__name__)
@@ -143,6 +144,24 @@ def run_rfm_v1(
     return {"stg_customer_orders": orders, "fact_customer_rfm": fact}
 
 
+def run_landing(
+    raw: DataFrame, places: DataFrame, landing: str, as_of: str, stamp: str, datasets: Sequence[str] = DATASETS
+) -> dict[str, int | list[str]]:
+    """Flatten API payloads and land them as JSON; one warning names each payload that gave no rows.
+
+    The payloads are read once: what is warned of is counted while they are written. The same run again lands the
+    same records. Returns the number of payloads and the names warned of.
+    """
+    seen = Observation()
+    write_landing_json(flatten_daily_payload(raw, places, seen), landing, as_of, stamp, datasets)
+    report = seen.get
+    for name in report["without_days"]:
+        log.warning("%s: the payload has no daily data", name)
+    for name in report["unknown_places"]:
+        log.warning("%s: the location is not known, nothing is landed", name)
+    return report
+
+
 def run_weather(
     spark: SparkSession,
     landing: str,
@@ -150,27 +169,41 @@ def run_weather(
     as_of: str,
     datasets: Sequence[str] = DATASETS,
     required: Sequence[str] = (),
+    events: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Fails when a ``required`` data set has not landed; another that is missing is logged."""
+    """Fails when a ``required`` data set has not landed; another that is missing is logged.
+
+    ``events`` is the calendar that names the climate event of each day (see ``dim_date``).
+    """
     records = read_landing_json(spark, landing, as_of, datasets, required)
-    return weather_tables(records, store)
+    return weather_tables(records, store, events)
+
 
+def write_by_month(fact: DataFrame, store: str, name: str) -> DataFrame:
+    """A daily fact in one folder per month, so that questions to a period read its months only."""
+    keyed = fact.withColumn(weather.MONTH, weather.month_key()).hint("rebalance", weather.MONTH)
+    return write_table(keyed, store, "silver", name, [weather.MONTH])
 
-def weather_tables(records: DataFrame, store: str) -> dict[str, DataFrame]:
-    """Bronze, silver and gold from landed records."""
+
+def weather_tables(records: DataFrame, store: str, events: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Bronze, silver and gold from landed records; the risk facts are laid out by month."""
 
     spark = records.sparkSession
 
-    def written(layer: str, frames: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-        scans = in_parallel(spark, lambda name: write_table(frames[name](), store, layer, name), frames)
-        return dict(zip(frames, scans))
+    def written(
+        layer: str, frames: dict[str, Callable[[], DataFrame]], monthly: Sequence[str] = ()
+    ) -> dict[str, DataFrame]:
+        def write(name: str) -> DataFrame:
+            return write_by_month(frames[name](), store, name) if name in monthly else write_table(frames[name](), store, layer, name)
+
+        return dict(zip(frames, in_parallel(spark, write, frames)))
 
     with staging_scope(spark):
         tables = written("bronze", {"weather_daily": lambda: weather.build_bronze(records)})
         bronze = tables["weather_daily"]
         tables |= written(
             "silver",
-            {"dim_date": lambda: weather.dim_date(bronze), "dim_location": lambda: weather.dim_location(bronze)},
+            {"dim_date": lambda: weather.dim_date(bronze, events), "dim_location": lambda: weather.dim_location(bronze)},
         )
         dates, places = tables["dim_date"], tables["dim_location"]
         assert_unique(places, ["location_name"], "dim_location")
@@ -186,6 +219,7 @@ def weather_tables(records: DataFrame, store: str) -> dict[str, DataFrame]:
                 "fact_fire_risk_daily": lambda: risk.select(*weather.FIRE_COLUMNS),
                 "fact_mitigation_daily": lambda: weather.mitigation(risk),
             },
+            monthly=["fact_drought_risk_daily", "fact_fire_risk_daily"],
         )
     drought, fire, action = (tables[f"fact_{name}_daily"] for name in ("drought_risk", "fire_risk", "mitigation"))
     return tables | written(

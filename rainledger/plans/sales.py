@@ -38,7 +38,7 @@ def declared(required: Sequence[str] = (), **columns: T.DataType) -> T.StructTyp
     return T.StructType([T.StructField(name, kind, name not in required) for name, kind in columns.items()])
 
 
-_INT, _TEXT, _PRICE = T.IntegerType(), T.StringType(), T.DecimalType(10, 2)
+_INT, _PRICE, _text = T.IntegerType(), T.DecimalType(10, 2), T.VarcharType
 
 # Declared types of the database variant.
 TYPED_LINES = declared(
@@ -50,28 +50,28 @@ TYPED_LINES = declared(
     UnitPrice=_PRICE,
     LineTotal=T.DecimalType(12, 2),
     TerritoryID=_INT,
-    TerritoryName=_TEXT,
-    CountryRegionCode=_TEXT,
+    TerritoryName=_text(100),
+    CountryRegionCode=_text(10),
 )
 TYPED_PRODUCTS = declared(
     ProductID=_INT,
-    ProductName=_TEXT,
-    ProductNumber=_TEXT,
+    ProductName=_text(255),
+    ProductNumber=_text(50),
     ListPrice=_PRICE,
     StandardCost=_PRICE,
-    Category=_TEXT,
-    Subcategory=_TEXT,
+    Category=_text(100),
+    Subcategory=_text(100),
 )
 TYPED_SUMMARY = declared(
     ["ProductID", "TerritoryID"],
     ProductID=_INT,
-    ProductName=_TEXT,
-    ProductNumber=_TEXT,
-    Category=_TEXT,
-    Subcategory=_TEXT,
+    ProductName=_text(255),
+    ProductNumber=_text(50),
+    Category=_text(100),
+    Subcategory=_text(100),
     TerritoryID=_INT,
-    TerritoryName=_TEXT,
-    CountryRegionCode=_TEXT,
+    TerritoryName=_text(100),
+    CountryRegionCode=_text(10),
     TotalRevenue=T.DecimalType(15, 2),
     TotalQty=_INT,
     AvgUnitPrice=_PRICE,

@@ -13,6 +13,8 @@ from ..operators.ranking import keep_first, surrogate_key
 from ..operators.rolling import rolling_sums
 
 CLIMATE_EVENT = "El Nino"
+#: The column that the stored risk facts are laid out by: YYYYMM of the date key.
+MONTH = "month_key"
 
 # Points by measure, as (comparison, (cut, points), ...); the first rule that holds wins.
 HEAT = "temperature_2m_max_c"
@@ -109,19 +111,37 @@ def build_bronze(records: DataFrame) -> DataFrame:
 # --- dimensions ---------------------------------------------------------------------------------
 
 
-def dim_date(bronze: DataFrame) -> DataFrame:
+def dim_date(bronze: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """The calendar of the days that occur, with the climate event of each.
+
+    ``events(climate_event, first_day, last_day)`` is the calendar of events, both days included; of several on one day
+    the one that began last counts (then by name), and a day without one has NULL. Without a calendar every day belongs
+    to the one event that the plan was made for.
+    """
     day = F.col("full_date")
-    return bronze.select(F.col("date").cast("date").alias("full_date")).distinct().select(
+    days = bronze.select(F.col("date").cast("date").alias("full_date")).distinct()
+    if events is None:
+        named = days.withColumn("climate_event", F.lit(CLIMATE_EVENT))
+    else:
+        named = days.join(broadcast_if_small(event_days(events)), "full_date", "left")
+    return named.select(
         date_key(day).alias("date_key"),
         day,
         F.year(day).alias("year"),
         F.month(day).alias("month"),
         month_name(day).alias("month_name"),
         season(day).alias("season_indonesia"),
-        F.lit(CLIMATE_EVENT).alias("climate_event"),
+        "climate_event",
     )
 
 
+def event_days(events: DataFrame) -> DataFrame:
+    """One row per day of the events: a join of equal days instead of one between ranges."""
+    days = F.explode(F.sequence(F.col("first_day").cast("date"), F.col("last_day").cast("date"))).alias("full_date")
+    spread = events.where(F.col("first_day") <= F.col("last_day")).select(days, "climate_event", F.col("first_day").alias("_begun"))
+    return keep_first(spread, ["full_date"], [F.col("_begun").desc(), F.col("climate_event")]).drop("_begun")
+
+
 def dim_location(bronze: DataFrame) -> DataFrame:
     """Locations numbered by name. Facts join by name, so check that names are unique."""
     keyed = surrogate_key(bronze.select(*PLACE_COLUMNS).distinct(), ["location"], "location_key")
@@ -200,8 +220,20 @@ def daily_risk(weather: DataFrame, places: DataFrame) -> DataFrame:
 # --- gold ---------------------------------------------------------------------------------------
 
 
+def month_key() -> Column:
+    return F.expr("date_key div 100").cast("int")
+
+
 def _star(fact: DataFrame, places: DataFrame, dates: DataFrame) -> DataFrame:
+    """A fact with the names of its places and days.
+
+    A fact laid out by month is also joined by month, so that only the months of ``dates`` are read: the chosen days are
+    broadcast, and their months prune the folders at run time.
+    """
     named = places.select("location_key", "province", "location_name", F.col("peatland_flag").alias("_peatland"))
+    if MONTH in fact.columns:
+        days = broadcast_if_small(dates.select("date_key", "full_date", month_key().alias(MONTH)))
+        return fact.join(days, ["date_key", MONTH]).join(named, "location_key").drop(MONTH)
     days = broadcast_if_small(dates.select("date_key", "full_date"))
     return fact.join(named, "location_key").join(days, "date_key")
 

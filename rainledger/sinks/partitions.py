@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..jobs import in_parallel
 from .staging import stage, staging_scope
+from .versions import current_folder, write_version
 
 REGION_FORMATS = ("parquet", "csv")
 
@@ -23,27 +25,32 @@ def partition_path(root: str, folder: str, as_of: str) -> str:
 
 
 def write_partition(df: DataFrame, root: str, folder: str, as_of: str) -> int:
-    """Replace one day of a table; other days stay. Returns the rows, counted while writing."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").option("compression", "snappy").parquet(partition_path(root, folder, as_of))
-    return seen.get["rows"]
+    """Replace one day of a table as a whole; other days stay. Returns its rows, as the files' footers count them.
 
+    Readers see the old day until the new one is complete, and keep it if the write fails.
+    """
+    written = write_version(df, partition_path(root, folder, as_of))
+    return df.sparkSession.read.schema(df.schema).parquet(written).count()
 
-def write_table(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
-    """Rebuild a layer table as Parquet and return a scan of it.
 
-    ``df`` must not read the table it replaces.
-    """
-    path = table_path(root, layer, name)
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def write_table(df: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Rebuild a layer table as Parquet, as a whole, and return a scan of its new version."""
+    folder = write_version(df, table_path(root, layer, name), tuple(partition_by))
+    columns = [f for f in df.schema.fields if f.name not in partition_by]
+    schema = T.StructType(columns + [df.schema[c] for c in partition_by])
+    return df.sparkSession.read.schema(schema).parquet(folder)
+
+
+def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+    """The current version of a layer table."""
+    return spark.read.parquet(current_folder(spark, table_path(root, layer, name)))
 
 
 def write_landing_json(records: DataFrame, root: str, as_of: str, stamp: str, datasets: Sequence[str]) -> None:
-    """Append records as JSON lines below ``{dataset}/location=/ingestion_date=/ts=``.
+    """Land records as JSON lines below ``{dataset}/location=/ingestion_date=/ts=``.
 
-    Every line keeps the whole record, ``location`` included. The records are computed once and
+    A run is named by its stamp: the same run again replaces what it landed per data set and location, and
+    all other runs stay. Every line keeps the whole record, ``location`` included. The records are computed once and
     staged, since each data set is a write of its own. Rebalancing gives each location few files,
     and splits a location that holds much of the data over several tasks.
     """
@@ -58,11 +65,12 @@ def write_landing_json(records: DataFrame, root: str, as_of: str, stamp: str, da
     with staging_scope(spark):
         staged = stage(lines, "landing")
 
-        def append(dataset: str) -> None:
+        def land(dataset: str) -> None:
             mine = staged.where(F.col("dataset") == dataset).drop("dataset").hint("rebalance", "location")
-            mine.write.mode("append").partitionBy("location", "ingestion_date", "ts").text(f"{root}/{dataset}")
+            writer = mine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("location", "ingestion_date", "ts").text(f"{root}/{dataset}")
 
-        in_parallel(spark, append, datasets)
+        in_parallel(spark, land, datasets)
 
 
 def write_by_region(df: DataFrame, path: str, file_format: str) -> None:
@@ -73,9 +81,3 @@ def write_by_region(df: DataFrame, path: str, file_format: str) -> None:
     if file_format == "csv":
         writer = writer.option("header", True)
     writer.save(path)
-
-
-def write_jdbc(df: DataFrame, url: str, table: str, options: Mapping[str, str] | None = None) -> None:
-    """Replace a database table's rows; its declared columns and keys stay."""
-    settings = {"url": url, "dbtable": table, "truncate": "true", **(options or {})}
-    df.write.format("jdbc").options(**settings).mode("overwrite").save()

@@ -3,7 +3,7 @@
 from .files import assert_readable, read_folder, read_landing_json, read_partition
 from .fixed import DATASETS, LOCATIONS, ingest_plan, inline_rows, locations, regional_orders
 from .ingest import CUSTOMER_TABLES, SALES_TABLES, TableSpec, ingest_tables, validate_manifest
-from .jdbc import count_jdbc, jdbc_options, jdbc_reader, key_range, read_jdbc, split_predicates
+from .jdbc import count_jdbc, cuts, equal_shares, jdbc_options, jdbc_reader, key_range, read_jdbc, share_query, split_predicates
 from .payload import RECORD_SCHEMA, flatten_daily_payload, payloads_without_days
 
 __all__ = [
@@ -15,6 +15,8 @@ __all__ = [
     "TableSpec",
     "assert_readable",
     "count_jdbc",
+    "cuts",
+    "equal_shares",
     "flatten_daily_payload",
     "ingest_plan",
     "ingest_tables",
@@ -29,6 +31,7 @@ __all__ = [
     "read_landing_json",
     "read_partition",
     "regional_orders",
+    "share_query",
     "split_predicates",
     "validate_manifest",
 ]

@@ -14,23 +14,28 @@ from pyspark.sql import types as T
 from ..jobs import in_parallel
 from ..operators.quality import QualityError, assert_not_empty
 from ..sinks.partitions import partition_path
+from ..sinks.versions import current_folder, current_folders
 from .payload import RECORD_SCHEMA
 
 log = logging.getLogger(__name__)
 
 
 def read_partition(spark: SparkSession, root: str, folder: str, as_of: str) -> DataFrame:
-    """One day of a landed table; lists that day's folder only, and fails when it is missing."""
-    return spark.read.option("basePath", f"{root}/{folder}").parquet(partition_path(root, folder, as_of))
+    """The current version of one day of a landed table; lists that day's folder only, and fails when it is missing.
+
+    A day landed by others, as plain files without versions, is read as it is.
+    """
+    day = current_folder(spark, partition_path(root, folder, as_of))
+    return spark.read.option("basePath", f"{root}/{folder}").parquet(day)
 
 
 def read_folder(spark: SparkSession, path: str) -> DataFrame:
-    """Every Parquet file below a path, at any depth, with the columns of all files.
+    """Every Parquet file below a path, at any depth, with the columns of all files; of versioned places the current version.
 
     A column that a file lacks is NULL there; one column of unlike types raises.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    return reader.option("mergeSchema", True).parquet(path)
+    return reader.option("mergeSchema", True).parquet(path, *current_folders(spark, path))
 
 
 def assert_readable(spark: SparkSession, root: str, folders: Iterable[str], as_of: str) -> dict[str, int]:

@@ -69,7 +69,7 @@ def test_payloads_are_reported_or_raise(spark):
         "dataset string, location_key string, body string",
     )
     found = {r["dataset"]: tuple(r)[2:] for r in payload_profile(raw).collect()}
-    assert found == {"archive": (1, 6, 1), "forecast": (0, 7, 0)}
+    assert found == {"archive": (1, 6, 1, 0), "forecast": (0, 7, 0, 0)}
     places = spark.createDataFrame(
         [("medan", "medan", "p", "i", 1.0, 2.0, False)],
         "location_key string, location_name string, province string, island string, latitude double, longitude double, "

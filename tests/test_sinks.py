@@ -9,13 +9,13 @@ from rainledger.operators import QualityError
 from rainledger.sinks import (
     conform,
     ensure_schemas,
+    read_table,
     rebuild_table,
     recreate_views,
     replace_typed,
     shared_folder,
     stage,
     staging_scope,
-    table_path,
     with_audit,
     write_by_region,
     write_table,
@@ -87,7 +87,7 @@ def test_layer_tables(spark, tmp_path):
     root = str(tmp_path)
     write_table(spark.range(3).toDF("a"), root, "silver", "t")
     again = write_table(spark.range(5).toDF("a"), root, "silver", "t")
-    assert again.count() == 5 == spark.read.parquet(table_path(root, "silver", "t")).count()
+    assert again.count() == 5 == read_table(spark, root, "silver", "t").count()
 
 
 def test_views_are_replaced(spark):

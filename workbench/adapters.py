@@ -17,6 +17,9 @@ STAMP = "20010802T000000"
 V1_TERRITORIES = ["NATION_0", "NATION_1"]
 SEASON_START, DROUGHT_END, FIRE_END = "1998-06-01", "1998-09-30", "1998-10-31"
 
+#: The calendar of climate events that the event queries use: the second event begins before the first has ended.
+EVENTS = [("El Nino", "1997-05-01", "1998-05-31"), ("La Nina", "1998-05-20", "2001-03-31")]
+
 # Category 3 is absent on purpose: its subcategories have no category name.
 SUBCATEGORIES = [(i, f"Subcategory {i}", i % 4) for i in range(8)]
 CATEGORIES = [(i, f"Category {i}") for i in range(3)]
@@ -171,6 +174,16 @@ def fixed_places(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, [(i, *row) for i, row in enumerate(LOCATIONS)], f"place bigint, {LOCATION_SCHEMA}")
 
 
+def events(spark: SparkSession) -> DataFrame:
+    named = inline_rows(spark, EVENTS, "climate_event string, first_day string, last_day string")
+    return named.withColumns({day: F.col(day).cast("date") for day in ("first_day", "last_day")})
+
+
+def zoned_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order header with its date as a zone-aware time stamp."""
+    return header(spark, sf_dir).withColumn("OrderDate", F.col("OrderDate").cast("timestamp"))
+
+
 def _points(column: str) -> Column:
     """Hundredths of a rate as an integer."""
     return F.round(F.col(column) * 100).cast("int")
@@ -217,7 +230,7 @@ def weather_records(spark: SparkSession, sf_dir: str, places: DataFrame | None =
     return named.withColumn("location", F.col("location_name")).select(*RECORD_SCHEMA.fieldNames())
 
 
-def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payloads(spark: SparkSession, sf_dir: str, places: DataFrame | None = None, modulo: int | None = None) -> DataFrame:
     """API answers, one per data set and location, in the shape of parallel daily arrays.
 
     The records hold one row per day, so an answer is never longer than the calendar. Humidity
@@ -237,7 +250,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    answers = weather_records(spark, sf_dir).groupBy("dataset", "location").agg(days.alias("days"))
+    answers = weather_records(spark, sf_dir, places, modulo).groupBy("dataset", "location").agg(days.alias("days"))
     humidity = F.when(F.col("dataset") == "archive", F.col("days.relative_humidity_min_pct"))
     daily = F.struct(
         F.col("days.date").alias("time"),

@@ -291,6 +291,11 @@ SELECT full_date, province, SUM(rain) / COUNT(*) AS avg_rainfall_mm,
        CAST(SUM(CAST(tmean AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*) AS avg_temperature_c
 FROM shown GROUP BY full_date, province"""
 
+def _placed(select: str, order: str) -> str:
+    """A report with the place of each row in its order."""
+    return f"SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS position FROM ({select})"
+
+
 MITIGATION_SELECT = """
 SELECT full_date, province, location_name, CAST(urgency AS DOUBLE) AS mitigation_priority_score, recommended_action
 FROM shown"""
@@ -362,7 +367,7 @@ SELECT cid AS CustomerID, person AS PersonID, cname AS CustomerName, individual
 SELECT tid AS TerritoryID, tname AS TerritoryName, country AS CountryRegionCode, grp AS RegionGroup FROM territory""",
     "customer_rfm_raw": f"{ORDERS} {RAW}",
     "customer_rfm_fact": f"{FACT} SELECT * EXCLUDE (cash) FROM fact",
-    "rfm_segment_distribution": f"{FACT} {SEGMENTS}",
+    "rfm_segment_distribution": f"{FACT} " + _placed(SEGMENTS, "total_monetary DESC NULLS LAST, Segment"),
     "rfm_v1_staging": f"""{V1}
 SELECT oid AS SalesOrderID, cid AS CustomerID, strftime(ordered_at, '%Y-%m-%d %H:%M:%S') AS OrderDate,
        tid AS TerritoryID, tname AS TerritoryName, CAST(amount AS DOUBLE) AS OrderAmount, cname AS CustomerName
@@ -406,15 +411,31 @@ SELECT full_date, province, location_name, peatland_flag, CAST(SUM(tenths) AS DO
        CAST(MAX(fire) AS DOUBLE) AS peak_fire_risk
 FROM shown GROUP BY full_date, province, location_name, peatland_flag""",
     "gold_mitigation": RISK + MITIGATION_SELECT,
-    "insight_drought_rank": f"""{RISK}
+    "insight_drought_rank": RISK + _placed("""
 SELECT province, location_name, CAST(SUM(drought) AS DOUBLE) / COUNT(*) AS avg_drought_risk,
        MAX(drought) AS peak_drought_risk
 FROM shown WHERE day BETWEEN DATE '1998-06-01' AND DATE '1998-09-30' GROUP BY province, location_name""",
-    "insight_climate_trend": RISK + TREND,
-    "insight_fire_rank": f"""{RISK}
+        "peak_drought_risk DESC NULLS LAST, province, location_name"),
+    "insight_climate_trend": RISK + _placed(TREND, "full_date, province"),
+    "insight_fire_rank": RISK + _placed("""
 SELECT province, location_name, CAST(MAX(fire) AS DOUBLE) AS peak_fire_risk
 FROM shown WHERE day BETWEEN DATE '1998-06-01' AND DATE '1998-10-31' GROUP BY province, location_name""",
-    "insight_mitigation_periods": RISK + MITIGATION_SELECT + " WHERE urgency >= 75",
+        "peak_fire_risk DESC NULLS LAST, province, location_name"),
+    "insight_mitigation_periods": RISK + _placed(
+        MITIGATION_SELECT + " WHERE urgency >= 75",
+        "full_date, mitigation_priority_score DESC NULLS LAST, province, location_name"),
+    # The second event begins on 20 May 1998, before the first has ended.
+    "dim_date_events": f"""WITH {_records(SUPPLIER_PLACES, 'l_suppkey')}
+SELECT DISTINCT CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_key, strftime(day, '%Y-%m-%d') AS full_date,
+       CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, monthname(day) AS month_name,
+       CASE WHEN month(day) BETWEEN 6 AND 9 THEN 'dry' WHEN month(day) IN (12, 1, 2, 3) THEN 'wet'
+            ELSE 'transition' END AS season_indonesia,
+       CASE WHEN day BETWEEN DATE '1998-05-20' AND DATE '2001-03-31' THEN 'La Nina'
+            WHEN day BETWEEN DATE '1997-05-01' AND DATE '1998-05-31' THEN 'El Nino' END AS climate_event
+FROM bronze""",
+    "event_trend": RISK + _placed(
+        TREND.replace("FROM shown", "FROM shown WHERE day BETWEEN DATE '1997-05-01' AND DATE '1998-05-19'"),
+        "full_date, province"),
     "top5_drought": _top5("drought", "INTEGER"),
     "top5_fire": _top5("fire", "DOUBLE"),
     "payload_flatten": f"""WITH {_records(SUPPLIER_PLACES, 'l_suppkey')}
@@ -438,15 +459,38 @@ FROM header""",
        'CustomerID,ProductID,SalesOrderID' AS column_names""",
     "payload_profile": f"""WITH {_records(SUPPLIER_PLACES, 'l_suppkey')}
 SELECT dataset, location AS location_key, CAST(COUNT(*) AS INTEGER) AS days,
-       CAST(CASE dataset WHEN 'forecast' THEN 1 ELSE 0 END AS INTEGER) AS absent, CAST(0 AS INTEGER) AS uneven
+       CAST(CASE dataset WHEN 'forecast' THEN 1 ELSE 0 END AS INTEGER) AS absent, CAST(0 AS INTEGER) AS uneven,
+       CAST(0 AS INTEGER) AS corrupt
 FROM records GROUP BY dataset, location""",
     "declared_types": """
 SELECT * FROM (VALUES ('stg_sales_orders', 'LineTotal', 'decimal(12,2)'), ('stg_sales_orders', 'UnitPrice', 'decimal(10,2)'),
   ('stg_sales_orders', 'OrderQty', 'smallint'), ('stg_sales_orders', 'OrderDate', 'date'),
   ('stg_products', 'ListPrice', 'decimal(10,2)'), ('stg_products', 'StandardCost', 'decimal(10,2)'),
   ('trf_sales_summary', 'TotalRevenue', 'decimal(15,2)'), ('trf_sales_summary', 'MarginPct', 'decimal(6,2)'),
-  ('fact_sales_performance', 'AvgUnitPrice', 'decimal(10,2)'), ('fact_sales_performance', 'LoadTimestamp', 'timestamp'))
-  AS v(table_name, column_name, declared)""",
+  ('fact_sales_performance', 'AvgUnitPrice', 'decimal(10,2)'), ('fact_sales_performance', 'LoadTimestamp', 'timestamp'),
+  ('stg_sales_orders', 'TerritoryName', 'varchar(100)'), ('stg_sales_orders', 'CountryRegionCode', 'varchar(10)'),
+  ('stg_products', 'ProductName', 'varchar(255)'), ('stg_products', 'ProductNumber', 'varchar(50)'),
+  ('stg_products', 'Category', 'varchar(100)'), ('stg_products', 'Subcategory', 'varchar(100)'))
+  AS v(table_name, column_name, declared)
+UNION ALL
+SELECT table_name, column_name, declared
+FROM (VALUES ('trf_sales_summary'), ('fact_sales_performance')) AS t(table_name),
+     (VALUES ('ProductName', 'varchar(255)'), ('ProductNumber', 'varchar(50)'), ('Category', 'varchar(100)'),
+             ('Subcategory', 'varchar(100)'), ('TerritoryName', 'varchar(100)'), ('CountryRegionCode', 'varchar(10)'))
+     AS c(column_name, declared)""",
+    "load_stamps": "SELECT '2001-08-02' AS BatchDate, COUNT(*) AS loaded_rows, true AS on_time FROM orders",
+    "layer_rewritten": f"""{ORDERS}
+SELECT TerritoryID, CAST(a AS DOUBLE) AS Amount, CAST(a AS DOUBLE) / 2 AS Share, CAST(a AS DOUBLE) AS FirstAmount
+FROM (SELECT tid AS TerritoryID, SUM(amount) AS a FROM corders GROUP BY tid)""",
+    "landing_json_rerun": f"""WITH {_records(FIXED_PLACES, 'l_suppkey % 15')}
+SELECT ts, dataset, location, COUNT(*) AS landed_rows
+FROM records, (VALUES ('20010802T000000'), ('20010802T060000')) AS runs(ts) GROUP BY ts, dataset, location""",
+    "payload_landing_run": f"""WITH {_records(FIXED_PLACES, 'l_suppkey % 15')}
+SELECT {_record_columns("CASE dataset WHEN 'archive' THEN humidity END", "round_even((tmax + tmin) / 2, 3)")}
+FROM records""",
+    "landed_without_zones": """
+SELECT o_orderkey AS SalesOrderID, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS OrderDate, 'timestamp_ntz' AS kind
+FROM orders""",
     "ingest_manifest": f"""WITH {LANDED}
 SELECT tbl AS "table", path || '/dt=2001-08-02' AS path, n AS "rows" FROM landed""",
     "ingest_readback": f"""WITH {LANDED} SELECT tbl AS "table", n AS "rows", ncols AS "columns" FROM landed""",

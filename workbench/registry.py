@@ -7,6 +7,7 @@ no load times.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainledger.jobs import in_parallel
-from rainledger.operators import grain_violations, layer_counts, null_profile
+from rainledger.operators import grain_violations, layer_counts, null_profile, with_position
 from rainledger.plans import rfm, runs, sales, weather
 from rainledger.sinks import (
     conform,
+    declared_columns,
     ensure_schemas,
+    finished_versions,
+    read_table,
     rebuild_table,
     replace_typed,
     stage,
+    table_path,
+    with_audit,
     write_by_region,
     write_landing_json,
     write_partition,
+    write_table,
 )
 from rainledger.sinks.staging import scratch_path
 from rainledger.sources.payload import payload_profile as profile_of_payloads
@@ -188,7 +195,7 @@ def customer_rfm_fact(spark, sf_dir):
 
 @query
 def rfm_segment_distribution(spark, sf_dir):
-    return rfm.segment_distribution(_rfm_fact(spark, sf_dir))
+    return with_position(rfm.segment_distribution(_rfm_fact(spark, sf_dir)))
 
 
 @query
@@ -214,9 +221,9 @@ def _bronze(spark, sf_dir):
     return stage(weather.build_bronze(a.weather_records(spark, sf_dir)), "bronze")
 
 
-def _star(spark, sf_dir):
+def _star(spark, sf_dir, events=None):
     bronze = _bronze(spark, sf_dir)
-    dimensions = [lambda: stage(weather.dim_date(bronze), "dim_date"), lambda: weather.dim_location(bronze)]
+    dimensions = [lambda: stage(weather.dim_date(bronze, events), "dim_date"), lambda: weather.dim_location(bronze)]
     dates, places = in_parallel(spark, lambda build: build(), dimensions)
     return weather.weather_fact(bronze, dates, places), places, dates
 
@@ -290,25 +297,63 @@ def gold_mitigation(spark, sf_dir):
     return weather.gold_mitigation(weather.mitigation(risk), places, dates)
 
 
+_stores: dict[tuple[str, str], str] = {}
+
+
+def _stored(spark, sf_dir, fact):
+    """A risk fact by month with its dimensions, as a daily run stores them; later questions read what is stored.
+
+    They are written once a session and input folder, by whichever question comes first.
+    """
+    key = spark.sparkContext.applicationId, sf_dir
+    names = ["fact_drought_risk_daily", "fact_fire_risk_daily"]
+    if key not in _stores or not all(finished_versions(spark, table_path(_stores[key], "silver", n)) for n in names):
+        store = scratch_path(spark, "store")
+        risk, places, dates = _risk(spark, sf_dir)
+        risk = stage(risk, "daily_risk")
+        write_table(places, store, "silver", "dim_location")
+        write_table(dates, store, "silver", "dim_date")
+        for name, columns in zip(names, (weather.DROUGHT_COLUMNS, weather.FIRE_COLUMNS)):
+            runs.write_by_month(risk.select(*columns), store, name)
+        _stores[key] = store
+    return [read_table(spark, _stores[key], "silver", name) for name in (fact, "dim_location", "dim_date")]
+
+
 @query
 def insight_drought_rank(spark, sf_dir):
-    return weather.drought_ranking(*_risk(spark, sf_dir), a.SEASON_START, a.DROUGHT_END)
+    """``position`` is the place in the ranking's own order, here and in the other insights."""
+    stored = _stored(spark, sf_dir, "fact_drought_risk_daily")
+    return with_position(weather.drought_ranking(*stored, a.SEASON_START, a.DROUGHT_END))
 
 
 @query
 def insight_climate_trend(spark, sf_dir):
-    return weather.climate_trend(*_star(spark, sf_dir))
+    return with_position(weather.climate_trend(*_star(spark, sf_dir)))
 
 
 @query
 def insight_fire_rank(spark, sf_dir):
-    return weather.fire_ranking(*_risk(spark, sf_dir), a.SEASON_START, a.FIRE_END)
+    stored = _stored(spark, sf_dir, "fact_fire_risk_daily")
+    return with_position(weather.fire_ranking(*stored, a.SEASON_START, a.FIRE_END))
 
 
 @query
 def insight_mitigation_periods(spark, sf_dir):
     risk, places, dates = _risk(spark, sf_dir)
-    return weather.mitigation_periods(weather.mitigation(risk), places, dates)
+    return with_position(weather.mitigation_periods(weather.mitigation(risk), places, dates))
+
+
+@query
+def dim_date_events(spark, sf_dir):
+    """The calendar with two events that overlap, and days without one."""
+    return weather.dim_date(weather.build_bronze(a.weather_records(spark, sf_dir)), a.events(spark))
+
+
+@query
+def event_trend(spark, sf_dir):
+    """The trend during one of two events: the days of the other, and those without one, drop out."""
+    facts, places, dates = _star(spark, sf_dir, a.events(spark))
+    return with_position(weather.climate_trend(facts, places, dates, "El Nino"))
 
 
 @query
@@ -359,6 +404,34 @@ def landing_json_roundtrip(spark, sf_dir):
     return weather.build_bronze(read_landing_json(spark, root, a.AS_OF, DATASETS))
 
 
+@query
+def landing_json_rerun(spark, sf_dir):
+    """Two runs land the same day, the first of them twice: each run's records are there once."""
+    root, later = scratch_path(spark, "landing_json"), a.STAMP.replace("T00", "T06")
+    for stamp in (a.STAMP, later, a.STAMP):
+        write_landing_json(_fixed_records(spark, sf_dir), root, a.AS_OF, stamp, DATASETS)
+    landed = read_landing_json(spark, root, a.AS_OF, DATASETS)
+    return landed.groupBy("ts", "dataset", "location").agg(F.count("*").alias("landed_rows"))
+
+
+@query
+def payload_landing_run(spark, sf_dir):
+    """Payloads flattened and landed in one run, and read back."""
+    root, places = scratch_path(spark, "landing_json"), a.fixed_places(spark)
+    payloads = a.payloads(spark, sf_dir, places, len(LOCATIONS))
+    runs.run_landing(payloads, places.drop("place"), root, a.AS_OF, a.STAMP, DATASETS)
+    return read_landing_json(spark, root, a.AS_OF, DATASETS).drop("ts")
+
+
+@query
+def landed_without_zones(spark, sf_dir):
+    """A zone-aware time stamp lands as its wall-clock time, without a zone."""
+    root, spec = scratch_path(spark, "landing"), SALES_TABLES[0]
+    ingest_tables(spark, [spec], root, a.AS_OF, lambda _: a.zoned_header(spark, sf_dir))
+    back = read_partition(spark, root, spec.folder, a.AS_OF)
+    return back.select("SalesOrderID", "OrderDate", F.typeof("OrderDate").alias("kind"))
+
+
 @query
 def landing_parquet_roundtrip(spark, sf_dir):
     """Land the order header for two days and read one of them."""
@@ -435,6 +508,28 @@ def rebuilt_table(spark, sf_dir):
     return built
 
 
+@query
+def layer_rewritten(spark, sf_dir):
+    """A layer table rebuilt from its own rows: readers of the old version are not disturbed."""
+    store = scratch_path(spark, "store")
+    sums = _orders(spark, sf_dir).groupBy("TerritoryID").agg(F.sum("OrderAmount").alias("Amount"))
+    first = write_table(sums, store, "silver", "territory_amounts")
+    again = first.withColumn("Share", F.col("Amount").cast("double") / 2)
+    write_table(again, store, "silver", "territory_amounts")
+    both = first.select("TerritoryID", F.col("Amount").alias("FirstAmount"))
+    return read_table(spark, store, "silver", "territory_amounts").join(both, "TerritoryID")
+
+
+@query
+def load_stamps(spark, sf_dir):
+    """Stored load times lie between the begin of the load and an hour after it; the batch date is the given day."""
+    begun = F.lit(datetime.now(UTC)).cast("timestamp")
+    loaded = stage(with_audit(a.header(spark, sf_dir), a.AS_OF), "audited")
+    inside = F.min("LoadTimestamp") >= begun - F.expr("interval 1 second")
+    inside &= F.max("LoadTimestamp") <= begun + F.expr("interval 1 hour")
+    return loaded.groupBy("BatchDate").agg(F.count("*").alias("loaded_rows"), inside.alias("on_time"))
+
+
 @query
 def typed_load(spark, sf_dir):
     """Load the offline summary into a declared table, with its key checked before the switch."""
@@ -479,7 +574,7 @@ def sales_typed_run(spark, sf_dir):
 
 @query
 def declared_types(spark, sf_dir):
-    """The types that the loaded tables of the database variant hold, as text."""
+    """The types that the loaded tables of the database variant hold, and the text lengths they declare."""
     tables = runs.run_sales_typed(spark, a.source_reader(spark, sf_dir), scratch_path(spark, "dwh"), "dwh_types")
     wanted = {
         "stg_sales_orders": ["LineTotal", "UnitPrice", "OrderQty", "OrderDate"],
@@ -494,6 +589,13 @@ def declared_types(spark, sf_dir):
         for name, columns in wanted.items()
         for column in columns
     ]
+    texts = [
+        (name, column, kind)
+        for name in wanted
+        for column, kind in declared_columns(spark, f"dwh_types.{name}")
+        if kind.startswith("varchar")
+    ]
+    parts.append(spark.createDataFrame(texts, "table_name string, column_name string, declared string"))
     return reduce(DataFrame.unionAll, parts)
 
 
