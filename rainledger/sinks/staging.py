@@ -36,11 +36,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet to the shared folder and return a scan of it."""
+def stage(df: DataFrame, name: str, scoped: bool = True) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and return a scan of it.
+
+    A table that is not ``scoped`` outlives the staging scope that is open.
+    """
     path = scratch_path(df.sparkSession, name)
     scope = _open_scope.get()
-    if scope is not None:
+    if scope is not None and scoped:
         scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
