@@ -45,12 +45,16 @@ def _whole_numbers(scale: int):
 
 
 def _matrix(rows: pa.Table) -> np.ndarray:
+    """All rows of a group have one length, 0 included; a side of the group may be empty."""
     data = b"".join(rows.column("packed").to_pylist())
-    return np.frombuffer(data, dtype=np.int64).reshape(rows.num_rows, -1)
+    dim = rows.column("dim")[0].as_py() if rows.num_rows else 0
+    return np.frombuffer(data, dtype=np.int64).reshape(rows.num_rows, dim)
 
 
 def _scores(queries: pa.Table, vectors: pa.Table):
     """Scores of each query with all vectors of the block in turn; a row's score with itself is left out."""
+    if not queries.num_rows or not vectors.num_rows:
+        return  # a length that only queries, or only vectors of this block, have
     left, right = _matrix(queries), _matrix(vectors)
     peak = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(1, left.shape[1])
     if peak < 2.0**53:
