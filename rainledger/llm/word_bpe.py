@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import os
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -31,6 +32,8 @@ SCAN_LIMIT = 64
 _NONE = (1 << 31) - 1
 #: Stands before a special token among words; no word begins with a space.
 _SPECIAL = " "
+#: The first character that is not in the Latin blocks.
+_BEYOND = "ɐ"
 
 
 def _byte_letters() -> list[str]:
@@ -50,6 +53,10 @@ class WordBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
         model, end = spec["model"], spec["model"]["end_of_word_suffix"]
         vocab = model["vocab"]
         self.tokens = {i: token for token, i in vocab.items()}
@@ -175,6 +182,10 @@ class WordBpe:
         return [x for p in parts if p for x in ([_SPECIAL + p] if p in self.special else self._plain(p))]
 
     def _plain(self, text: str) -> list[str]:
+        if not text.isascii() and max(text) >= _BEYOND:
+            # Engines know different versions of Unicode: the file's own normaliser and cuts decide.
+            text = self.library.normalizer.normalize_str(text)
+            return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
         text = unicodedata.normalize("NFC", text)
         # Lower case letter by letter: no final form of sigma.
         text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
