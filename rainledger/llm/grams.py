@@ -1,6 +1,6 @@
 """Vectorised hashing of texts inside tasks: words, n-gram hashes, and the minimum hash of each window.
 
-Texts are handled as the UTF-8 bytes of an Arrow batch, a few megabytes at a time, so a task's memory is
+Texts are handled as the UTF-8 bytes of an Arrow batch, a part of it at a time, so a task's memory is
 bounded by its longest document. Hashes are the same in every task and on every machine.
 """
 
@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-CHUNK_BYTES = 1 << 20
-_BASE = 0x9E3779B97F4A7C15
+#: Bytes that are hashed at a time, so that the arrays stay in a core's cache; and bytes of text that are tokenized at a time.
+CHUNK_BYTES, SLICE_BYTES = 1 << 18, 1 << 20
 _MASK = (1 << 64) - 1
 #: Bits of a packed window value that hold a position; the rest order the hashes.
 _POSITION_BITS = 28
@@ -28,46 +28,93 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_CODES = [mix(np.arange(256, dtype=np.uint64), salt) for salt in (11, 12)]
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-class _Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, grown as needed."""
+def _join(left: np.ndarray, right: np.ndarray, salt: int) -> np.ndarray:
+    """The hash of two parts, in order: multiplications and shifts alternate, so no algebra of one of them holds."""
+    x = left * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(31)
+    x += right * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64((salt * 0xD1B54A32D192ED03) & _MASK)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    return x
 
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, dtype=np.uint64)
 
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(self.up) < n:
-            size = len(self.up)
-            self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, size, 1 << 64))])
-            self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.inverse, size, 1 << 64))])
-        return self.up, self.down
+#: Keeps the first bytes of a little-endian word.
+_FIRST_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 
 
-_POWERS = [_Powers(_BASE), _Powers(0xC2B2AE3D27D4EB4F)]
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each position, as one integer; zeros follow the last."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+
+
+def byte_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
+    """The hash of each range of bytes, however long: eight bytes at a time, each mixed with its place, then summed."""
+    sizes = ends - starts
+    pieces = -(-sizes // 8)
+    firsts = np.cumsum(pieces) - pieces
+    total = int(pieces.sum())
+    owner = np.repeat(np.arange(len(sizes)), pieces)
+    inner = np.arange(total) - firsts[owner]
+    at = starts[owner] + 8 * inner
+    values = _eights(data)[at] & _FIRST_BYTES[np.minimum(ends[owner] - at, 8)]
+    keyed = mix(values ^ mix(inner.astype(np.uint64), 60 + family), 62 + family)
+    sums = np.zeros(len(sizes), dtype=np.uint64)
+    some = pieces > 0
+    if total:
+        sums[some] = np.add.reduceat(keyed, firsts[some])
+    return mix(sums + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 64 + family)
 
 
 class RangeHashes:
-    """Hashes of any ranges of a sequence of 64-bit codes, by prefix sums of a polynomial."""
+    """Hashes of any ranges of a sequence of 64-bit codes, by doubling.
+
+    Level k holds the hash of the ``2 ** k`` codes from each position on, made of two hashes of level k - 1. A range is hashed by
+    the two longest of these that begin and end with it, which together cover all of it. Unlike texts share a hash by
+    chance only (64 bits): there is no sum of powers whose terms could cancel.
+    """
 
     def __init__(self, codes: np.ndarray, family: int = 0):
-        up, self.down = _POWERS[family].of(len(codes) + 1)
-        self.sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-        np.cumsum(codes * up[: len(codes)], out=self.sums[1:])
+        self.count, self.first, self.levels, self.salt = len(codes), 0, [codes], 100 * family
+
+    @classmethod
+    def of_bytes(cls, data: np.ndarray, family: int = 0) -> RangeHashes:
+        """Of ranges of eight bytes or more: eight bytes are one code, by themselves."""
+        hashes = cls(data, family)
+        hashes.first, hashes.levels = 3, [mix(_eights(data)[: max(0, len(data) - 7)], 66 + family)]
+        return hashes
+
+    def _level(self, k: int) -> np.ndarray:
+        while len(self.levels) <= k - self.first:
+            below, width = self.levels[-1], 1 << (self.first + len(self.levels) - 1)
+            some = max(0, len(below) - width)
+            self.levels.append(_join(below[:some], below[width : width + some], self.salt + len(self.levels)))
+        return self.levels[k - self.first]
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.down[starts], 7)
+        sizes = ends - starts
+        level = np.frexp(np.maximum(sizes, 1).astype(np.float64))[1] - 1
+        out = np.zeros(len(sizes), dtype=np.uint64)
+        for k in np.unique(level[sizes > 0]).tolist():
+            own = np.flatnonzero((level == k) & (sizes > 0))
+            table = self._level(k)
+            out[own] = _join(table[starts[own]], table[ends[own] - (1 << k)], self.salt + 70)
+        return mix(out + sizes.astype(np.uint64), 7)
 
     def windows(self, size: int) -> np.ndarray:
-        """The hash of every window of ``size`` codes, by its start."""
-        n = max(0, len(self.sums) - size)
-        return mix((self.sums[size:] - self.sums[:n]) * self.down[:n], 7)
+        """The hash of every window of ``size`` codes, by its start; as ``of`` gives it."""
+        n = max(0, self.count - size + 1)
+        k = size.bit_length() - 1
+        table = self._level(k)
+        late = size - (1 << k)
+        return mix(_join(table[:n], table[late : late + n], self.salt + 70) + np.uint64(size), 7)
 
 
 @dataclass
@@ -103,10 +150,6 @@ def is_separator(data: np.ndarray) -> np.ndarray:
     return _SEPARATOR[data]
 
 
-def byte_codes(data: np.ndarray, family: int = 0) -> np.ndarray:
-    return _CODES[family][data]
-
-
 @dataclass
 class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a chunk; ``bounds`` cuts them by document."""
@@ -129,9 +172,7 @@ def words(chunk: Chunk, lower: bool = False, family: int = 0) -> Words:
     tails = chunk.bounds[1:][chunk.bounds[:-1] < chunk.bounds[1:]] - 1
     last[tails] = inside[tails]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    hashes = RangeHashes(byte_codes(data, family), family).of(starts, ends)
-    hashes = mix(hashes + (ends - starts).astype(np.uint64), 3)
-    return Words(starts, ends, np.searchsorted(starts, chunk.bounds), hashes)
+    return Words(starts, ends, np.searchsorted(starts, chunk.bounds), byte_ranges(data, starts, ends, family))
 
 
 def starts_within(bounds: np.ndarray, size: int) -> np.ndarray:
@@ -194,7 +235,7 @@ def covered(length: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(steps[:length]) > 0
 
 
-def slices(batch: pa.RecordBatch, text: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch cut into parts of about ``size`` bytes of text, at least one row each."""
     lengths = batch.column(text).cast(pa.large_binary() if pa.types.is_large_string(batch.column(text).type) else pa.binary())
     ends = np.cumsum(pa.compute.binary_length(lengths).fill_null(0).to_numpy(zero_copy_only=False))

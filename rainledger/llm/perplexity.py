@@ -185,9 +185,14 @@ def sorted_shards(known: DataFrame, entries: int) -> Iterator[tuple[np.ndarray,
     shards = max(1, -(-known.count() // entries))
     for i in range(shards):
         rows = known.filter(F.pmod(F.xxhash64("key"), F.lit(shards)) == i).toArrow()
-        keys, costs = (rows.column(c).to_numpy() for c in ("key", "cost"))
-        order = np.argsort(keys)
-        yield keys[order], costs[order]
+        # One copy at a time, so that the driver holds little more than one shard.
+        keys = rows.column("key").to_numpy()
+        costs = rows.column("cost").to_numpy().astype(np.int32, copy=False)
+        del rows
+        order = np.argsort(keys).astype(np.int32)
+        keys = keys[order]
+        yield keys, costs[order]
+        del keys, costs, order
 
 
 def _found(source: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
@@ -257,8 +262,7 @@ def _lines(chunk: grams.Chunk) -> np.ndarray:
     word = np.concatenate([[0], np.cumsum(~grams.is_separator(chunk.data))])
     some = word[ends] > word[starts]
     starts, ends, doc = starts[some], ends[some], doc[some]
-    hashes = grams.RangeHashes(grams.byte_codes(chunk.data)).of(starts, ends)
-    later = _repeated(hashes + (ends - starts).astype(np.uint64), doc)[1]
+    later = _repeated(grams.byte_ranges(chunk.data, starts, ends), doc)[1]
     return np.bincount(doc[later], minlength=len(chunk.ids))
 
 
@@ -324,10 +328,11 @@ def _rated(docs: DataFrame, entries: int) -> DataFrame:
     # Equal texts are in one fold.
     docs = docs.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
     costs = None
-    for shard in sorted_shards(train(docs, languages), entries):
+    for shard in sorted_shards(stage(train(docs, languages), "llm-model"), entries):
         source = context.broadcast(shard)
+        del shard
         known = stage(docs.mapInArrow(_cost(languages, source), f"{ROW} long, cost long, held_out long"), "llm-costs")
-        source.unpersist()
+        source.destroy()
         costs = known if costs is None else stage(costs.union(known).groupBy(ROW).agg(F.sum("cost").alias("cost"), F.sum("held_out").alias("held_out")), "llm-costs")
     kinds = ", ".join(f"{c} long" for c in STATS)
     measured = docs.mapInArrow(_measure(languages), f"{ROW} long, {kinds}, model int, n_grams long")

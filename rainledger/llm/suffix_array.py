@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..sinks.staging import stage
 from . import grams, repeats
-from .rows import ROW, identified
+from .rows import ROW, identified, release
 
 GRAM = 32
 
@@ -30,7 +30,7 @@ GRAM = 32
 def _segments(threshold: int):
     def find(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
         for chunk in grams.chunks(batch, ROW, "text"):
-            codes = grams.RangeHashes(grams.byte_codes(chunk.data))
+            codes = grams.RangeHashes.of_bytes(chunk.data)
             found = grams.anchors(codes, chunk.bounds, threshold, GRAM)
             if not len(found.at):
                 continue
@@ -63,7 +63,7 @@ def _contested_windows(threshold: int):
             doc = np.repeat(doc, counts)
             inner = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
             starts = np.repeat(place >> 16, counts) + inner
-            codes = grams.RangeHashes(grams.byte_codes(chunk.data))
+            codes = grams.RangeHashes.of_bytes(chunk.data)
             begin = chunk.bounds[doc] + starts
             late = begin + min(half, threshold - half)
             yield {
@@ -102,11 +102,12 @@ def remove_repeated_bytes(docs: DataFrame, threshold: int = 100) -> DataFrame:
     Earlier: in a document of smaller id, or further left in the same one. Returns doc_id, n_bytes, n_removed, n_spans and
     ``kept`` (binary: a cut may fall inside a character).
     """
-    if not GRAM < threshold <= GRAM + 256:
-        raise ValueError(f"threshold must be in {GRAM + 1}..{GRAM + 256}")
+    if not GRAM < threshold <= GRAM + 255:
+        raise ValueError(f"threshold must be in {GRAM + 1}..{GRAM + 255}")
     docs = identified(docs).filter(F.col(ROW).isNotNull())
     first = repeats.settled_rows(docs.select(ROW, "text"), _segments(threshold), threshold, True)
     marks = stage(repeats.sort_and_settle(first, threshold, True), "llm-byte-marks")
+    release(docs.sparkSession)
     contested = marks.filter("place >= 0").groupBy(ROW).agg(F.collect_list(F.struct("place")).alias("marks"))
     windows = repeats.settled_rows(docs.join(contested, ROW), _contested_windows(threshold), threshold, True)
     late = repeats.sort_and_settle(windows, threshold, True).filter("place < 0")
