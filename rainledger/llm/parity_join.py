@@ -36,12 +36,14 @@ from pyspark.sql import functions as F
 
 from ..sinks.staging import stage
 from . import grams
-from .rows import ROW, carried, identified, partitions, restored
+from .rows import ROW, carried, identified, partitions, release, restored
 
 SHINGLE = 5
 RATIO, SPARE, STAR_ROUNDS = 1.4, 0.2, 3
 BAND_MASK, SKETCH_BITS = 127, 1024
 CHUNK_SHINGLES = 1 << 17
+#: Members of one rare shingle that a task compares with as many others at a time.
+MEETING_BLOCK = 256
 
 
 def _bands(largest: int) -> list[tuple[int, int]]:
@@ -253,15 +255,63 @@ def _rarest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return first.select("key", "member", "component", "n", F.expr(f"({100 + percent} * (n - _place + 1)) DIV {percent} - n").alias("most"))
 
 
-def _rare_meetings(rare: DataFrame) -> DataFrame:
-    """x, y: members of different components that share a key of ``rare`` and whose sizes allow a link."""
+def _met_in_blocks(percent: int):
+    """From rows sorted by key and pair of blocks: the pairs of members that components, sizes, places and sketches allow."""
+    run_of = ["key", "low", "high"]
+
+    def meet(run: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        member, component, n, most, block = (run.column(c).to_numpy() for c in ("member", "component", "n", "most", "block"))
+        left, right = (np.flatnonzero(block == run.column(c)[0].as_py()) for c in ("low", "high"))
+        sketch = np.frombuffer(b"".join(run.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(n), -1)
+        found = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for i in left.tolist():
+            other = right[(component[right] != component[i]) & (n[right] <= most[i]) & (n[i] <= most[right])]
+            if run.column("low")[0] == run.column("high")[0]:
+                other = other[other > i]
+            differ = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+            other = other[(100 + percent) * differ <= (100 - percent) * (n[other] + n[i])]
+            found[0].append(np.full(len(other), member[i]))
+            found[1].append(member[other])
+        x, y = map(np.concatenate, found)
+        return np.minimum(x, y), np.maximum(x, y)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None  # the rows of the last run, which the next batch may go on with
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([waiting, rows]).combine_chunks() if waiting is not None else rows
+            names = np.stack([rows.column(c).to_numpy() for c in run_of])
+            fresh = np.flatnonzero(np.concatenate([[True], (names[:, 1:] != names[:, :-1]).any(axis=0)])) if rows.num_rows else np.zeros(0, np.int64)
+            for first, last in zip(fresh[:-1].tolist(), fresh[1:].tolist()):
+                if last - first > 1:
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, meet(rows.slice(first, last - first)))], names=["x", "y"])
+            waiting = rows.slice(int(fresh[-1])) if len(fresh) else waiting
+        if waiting is not None and waiting.num_rows > 1:
+            yield pa.RecordBatch.from_arrays([*map(pa.array, meet(waiting))], names=["x", "y"])
+
+    return read
+
+
+def _rare_meetings(rare: DataFrame, sums: DataFrame, percent: int) -> DataFrame:
+    """x, y: members of different components that share a key of ``rare`` and may be linked, as far as sizes, places and
+    sketches tell.
+
+    The members of a key are dealt into blocks of about ``MEETING_BLOCK``, and every two blocks of it meet in one task.
+    What the bounds rule out is never a row; a family of any size is spread over as many tasks as it has pairs of blocks.
+    """
     keys = rare.groupBy("key").agg(
-        F.min("n").alias("_least"), F.min("component").alias("_first"), F.max("component").alias("_last")
+        F.min("n").alias("_least"), F.min("component").alias("_first"), F.max("component").alias("_last"), F.count(F.lit(1)).alias("_count")
+    )
+    keys = keys.filter("_first <> _last").select("key", "_least", F.expr(f"(_count + {MEETING_BLOCK - 1}) DIV {MEETING_BLOCK}").cast("int").alias("blocks"))
+    rows = rare.join(keys, "key").filter("most >= _least").drop("_least")
+    rows = rows.join(sums.select(F.col(ROW).alias("member"), "sketch"), "member")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("member"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "member", "component", "n", "most", "sketch"
     )
-    rows = rare.join(keys.filter("_first <> _last").select("key", "_least"), "key").filter("most >= _least").drop("_least")
-    other = rows.toDF("key", "y", "other", "n_y", "most_y")
-    met = rows.join(other, "key").filter("member < y AND component <> other AND n <= most_y AND n_y <= most")
-    return met.select(F.col("member").alias("x"), "y")
+    dealt = rows.repartition(partitions(rare), "key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return dealt.mapInArrow(_met_in_blocks(percent), "x long, y long")
 
 
 def _linked(percent: int):
@@ -350,11 +400,15 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
 
     dealt = docs.mapInArrow(_keys, f"key long, {ROW} long").repartition(partitions(docs), "key").sortWithinPartitions("key", ROW)
     stars = stage(dealt.mapInArrow(_stars, "key long, lead long, member long, open boolean"), "llm-stars")
+    release(docs.sparkSession)
     met = stage(pairs(standing(stars.select("lead", "member").distinct(), "lead", "member"), "lead", "member"), "llm-pairs")
     rest = stage(standing(stars.filter("open").select("key", "member"), "member").distinct(), "llm-open")
     asked = met.select(F.col("a").alias(ROW)).union(met.select("b")).union(rest.select("member")).distinct()
+    release(docs.sparkSession)
     sets = stage(docs.join(asked, ROW, "left_semi").mapInArrow(_sets, "id long, shingles binary"), "llm-shingles")
+    release(docs.sparkSession)
     edges = stage(_verified(met, sets, percent), "llm-links")
+    release(docs.sparkSession)
     found = components(edges)
     rest = _without_spares(_open(rest, found), sums).select("key", "member")
 
@@ -371,11 +425,12 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
             rest = rest.join(leads.select("key", F.col("lead").alias("member")), ["key", "member"], "left_anti").select("key", "member")
         else:
             rare = _rarest(rest.select("member", "component").distinct(), sets, percent)
-            meeting = _rare_meetings(stage(rare, "llm-rarest"))
+            meeting = _rare_meetings(stage(rare, "llm-rarest"), sums, percent)
         fresh = stage(pairs(meeting, "x", "y").join(met, ["a", "b"], "left_anti"), "llm-pairs")
         rest = stage(rest.select("key", "member"), "llm-open")
         met = met.union(fresh)  # pairs that the sketches rule out may be met, and ruled out, again
         more = stage(_verified(fresh, sets, percent), "llm-links")
+        release(docs.sparkSession)
         if more.limit(1).count():
             edges = edges.union(more)
             found = components(edges)

@@ -8,7 +8,7 @@ numbered in a written table, so that a retried task sees the same numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks.staging import stage
@@ -27,6 +27,15 @@ def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", *others
     return stage(ordered.withColumn(ROW, F.monotonically_increasing_id()), "llm-rows")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    It does so when the driver collects its garbage; a driver that has memory to spare may keep many times the input on the
+    executors' disks until then.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
