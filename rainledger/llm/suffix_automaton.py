@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..sinks.staging import stage
 from . import grams, repeats
-from .rows import ROW, carried, identified, restored
+from .rows import ROW, carried, identified, release, restored
 
 GRAM = 5
 ROUTE_LIMIT = 2000
@@ -196,10 +196,24 @@ def _windows(window: int):
     return find
 
 
+def _cut(text: bytes, starts: list[int], ends: list[int], gone: list[list[int]]) -> bytes:
+    """A text without some runs of its words: each goes with the white space after it, the last of the text with the one before."""
+    parts, at = [], 0
+    for first, last in gone:
+        if last < len(starts):
+            cut, following = starts[first], starts[last]
+        else:
+            cut, following = (ends[first - 1] if first else starts[0]), ends[-1]
+        parts.append(text[at:cut])
+        at = following
+    return b"".join([*parts, text[at:]])
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, found = repeats.list_arrays(batch.column("ranges"), ["start", "stop"])
         at, kept, sizes, removed, spans = 0, [], [], [], []
+        carried_on, missing = "_rest" in batch.schema.names, batch.column("text").is_null().to_pylist()
         for chunk in grams.chunks(batch, ROW, "text"):
             words = grams.words(chunk)
             data = chunk.data.tobytes()
@@ -208,12 +222,17 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at += 1
                 first, last = words.bounds[i], words.bounds[i + 1]
                 stay = ~grams.covered(last - first, found["start"][own], found["stop"][own])
-                pairs = zip(words.starts[first:last][stay].tolist(), words.ends[first:last][stay].tolist())
-                kept.append(b" ".join([data[a:b] for a, b in pairs]))
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], (~stay).astype(np.int8), [0]]))).reshape(-1, 2).tolist()
+                if carried_on:
+                    own_text, shift = data[chunk.bounds[i] : chunk.bounds[i + 1]], chunk.bounds[i]
+                    ranges = ((c[first:last] - shift).tolist() for c in (words.starts, words.ends))
+                    kept.append(None if missing[at - 1] else _cut(own_text, *ranges, edges) if edges else own_text)
+                else:
+                    pairs = zip(words.starts[first:last][stay].tolist(), words.ends[first:last][stay].tolist())
+                    kept.append(b" ".join([data[a:b] for a, b in pairs]))
                 sizes.append(last - first)
                 removed.append(int((~stay).sum()))
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], (~stay).astype(np.int8), [0]])))
-                spans.append([{"start": a, "stop": b} for a, b in edges.reshape(-1, 2).tolist()])
+                spans.append([{"start": a, "stop": b} for a, b in edges])
         rest = [batch.column(c) for c in batch.schema.names if c == "_rest"]
         span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
@@ -232,7 +251,10 @@ def remove_repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
 
 
 def cut_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
-    """The rows of ``docs`` with all their columns; in ``text`` only the kept words, joined by one space."""
+    """The rows of ``docs`` with all their columns; the removed passages are cut out of ``text``.
+
+    What stays keeps its line ends and spaces; a text without removals, null included, is the same as before.
+    """
     return restored(_removed(carried(docs), window), docs, "kept")
 
 
@@ -242,6 +264,7 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
     docs = docs.filter(F.col(ROW).isNotNull())
     first = repeats.settled_rows(docs.select(ROW, "text"), _segments(window), window, False)
     marks = stage(repeats.sort_and_settle(first, window, False), "llm-word-marks")
+    release(docs.sparkSession)
     contested = marks.filter("place >= 0").select(ROW, "name", "place")
     crowded = contested.groupBy("name").count().filter(F.col("count") > ROUTE_LIMIT).select("name")
     per_doc = F.collect_list(F.struct("name", "place")).alias("marks")

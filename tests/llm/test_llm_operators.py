@@ -202,7 +202,8 @@ def test_rare_shingles_meet_in_every_linked_pair(spark):
         sets[i] = np.sort(rng.choice(34, n, replace=False).astype(np.uint64) + np.uint64(100 * (i % 3)))
     members = spark.createDataFrame([(i, i // 2 * 2) for i in sets], "member long, component long")
     hashed = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "id long, shingles binary")
-    met = {tuple(r) for r in parity_join._rare_meetings(parity_join._rarest(members, hashed, 80)).collect()}
+    sums = spark.createDataFrame([(i, bytearray(parity_join.bit_sketch(s))) for i, s in sets.items()], "_id long, sketch binary")
+    met = {tuple(r) for r in parity_join._rare_meetings(parity_join._rarest(members, hashed, 80), sums, 80).collect()}
     linked = 0
     for b in sets:
         for a in range(b):
@@ -492,3 +493,92 @@ def test_awkward_and_empty_tables(spark, awkward, name):
         assert {r["doc_id"]: r["text"] for r in whole}[6] == "tail"
     if name == "bytes":
         assert {r["doc_id"]: r["kept"] for r in whole}[6] == b" tail"
+
+
+# --- unlike texts of one polynomial hash, unlike lengths, newer letters ---------------------------------
+
+
+def doubled(order, a="a", b="b"):
+    """A text and its inversion, doubled again and again: equal under every polynomial hash modulo 2**64."""
+    first, second = a, b
+    for _ in range(order):
+        first, second = first + second, second + first
+    return first, second
+
+
+@pytest.mark.parametrize("order", [10, 11])
+def test_doubled_and_inverted_words_are_unlike(spark, order):
+    x, y = doubled(order)
+    words = [f"w{i}" for i in range(12)]
+    texts = [(1, " ".join([x, *words])), (2, " ".join([y, *words])), (3, " ".join([x, *words]))]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in suffix_automaton.remove_repeated_words(df).collect()} == {1: 0, 2: 0, 3: 13}
+    rows = [(i, " ".join([w, *[f"v{i % 2}{j}" for j in range(4)]])) for i, w in ((1, x), (3, y))]  # one shingle each
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["component_id"] for r in parity_join.similar_components(df).collect()} == {1, 3}
+
+
+@pytest.mark.parametrize("order", [10, 11])
+def test_doubled_and_inverted_lines_are_unlike(spark, order):
+    x, y = doubled(order)
+    a, b = doubled(order, "one ", "two ")
+    df = spark.createDataFrame([(1, f"{x}\n{y}", "en"), (2, f"{x}\n{y}\n{x}", "en"), (3, f"{a}\n{b}", "en")], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["n_dup_lines"] for r in perplexity.rate_documents(df).collect()}
+    assert found == {1: 0, 2: 1, 3: 0}
+
+
+@pytest.mark.parametrize("threshold", [100, 200, 287])
+def test_doubled_and_inverted_bytes_are_unlike(spark, threshold):
+    x, y = doubled(9)
+    texts = [(1, x[:300] + "#"), (2, "#" + y[:300]), (3, y[100:400]), (4, x[:64] + y[:236])]
+    seen, wanted = set(), {}
+    for doc, text in texts:
+        gone = np.zeros(len(text), dtype=bool)
+        for i in range(len(text) - threshold + 1):
+            gone[i : i + threshold] |= text[i : i + threshold] in seen
+            seen.add(text[i : i + threshold])
+        wanted[doc] = "".join(c for c, g in zip(text, gone) if not g).encode()
+    found = suffix_array.remove_repeated_bytes(spark.createDataFrame(texts, "doc_id long, text string"), threshold)
+    assert {r["doc_id"]: bytes(r["kept"]) for r in found.collect()} == wanted
+
+
+def test_topk_with_unlike_lengths(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 1, size).tolist()) for i, size in [(n, 8) for n in range(70)] + [(100, 16), (101, 16), (103, 4), (120, 2), (140, 0), (141, 0)]]
+    found = {}
+    for r in topk.top_partners(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 20 = 0", 5).collect():
+        found.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+    for query in (q for q in whole if q % 20 == 0):
+        scores = [(sum(a * b for a, b in zip(whole[query], v)), i) for i, v in whole.items() if i != query and len(v) == len(whole[query])]
+        assert sorted(found.get(query, []), key=lambda s: (-s[0], s[1])) == sorted(scores, key=lambda s: (-s[0], s[1]))[:5]
+
+
+def test_word_bpe_on_letters_of_every_version(spark):
+    rng = random.Random(7)
+    pool = list("abcABC  \n\t'.,!?019éßΣς中 　՘ꟋᲉᲊ\x85\x1c\U00011de0😀ا́İıſKDž") + ["'s", "'LL", " the", "ING", "  "]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    letters = [chr(c) for c in range(0x250, 0x20000) if not 0xD800 <= c < 0xE000]
+    texts += ["a".join(letters[i : i + 40]) for i in range(0, len(letters), 40)]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation(), library.no_padding()
+    bpe = word_bpe.WordBpe(public_tokenizers.path("word_bpe_49k.json"))
+    for text, (_, ids, decoded) in zip(texts, bpe.encode_decode(texts)):
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, dtype="<u4").tolist() == wanted
+        assert decoded == library.decode(wanted, skip_special_tokens=False)
+
+
+def test_rare_meetings_in_several_blocks(spark, monkeypatch):
+    """A family too loose for links, with blocks of three: the same components as brute force, and few rows."""
+    monkeypatch.setattr(parity_join, "MEETING_BLOCK", 3)
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(100)]
+    texts = []
+    for doc in range(40):
+        words = list(base)
+        for at in rng.sample(range(100), rng.choice([1, 2, 3])):
+            words[at] = f"x{doc}_{at}"
+        texts.append((doc + 1, " ".join(words)))
+    found = parity_join.similar_components(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {r["doc_id"]: tuple(r)[1:] for r in found.collect()} == brute_components(texts)
