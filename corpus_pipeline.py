@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rainledger.llm import packing, parity_join, perplexity, suffix_automaton
 from rainledger.llm.registry import read
-from rainledger.sinks.staging import stage
+from rainledger.sinks.staging import stage, staging_scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +26,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of 13 words or more that an earlier document has; ``n_chars`` follows the text."""
+    """Documents without passages of 13 words or more that an earlier document has; ``n_chars`` follows the text.
+
+    Layout stays: only the passages are cut out, and a text without any is the same as before.
+    """
     cut = suffix_automaton.cut_repeats(docs)
-    return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    if "n_chars" not in docs.columns:
+        return cut
+    length = F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars")
+    return cut.withColumn("n_chars", length).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +59,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        with staging_scope(spark):  # a stage's own tables go when its result is written
+            docs = stage(step(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"), scoped=False)
     return STAGES[-1][1](spark, docs, sf_dir)
