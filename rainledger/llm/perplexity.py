@@ -36,7 +36,7 @@ from .rows import ROW, carried, identified, restored
 
 ORDER, BITS, FOLDS = 5, 8, 2
 #: N-grams in one broadcast (12 bytes each), and in a counting task before it passes them on.
-SHARD_ENTRIES, HELD_ENTRIES = 1 << 22, 1 << 22
+SHARD_ENTRIES, HELD_ENTRIES = 1 << 22, 1 << 21
 FENCE, SLACK, BAND_STEPS = 3, 0.05, 256
 #: Log probabilities are whole numbers of 2**-16 bits.
 UNIT = 1 << 16
@@ -67,10 +67,14 @@ def _keys(batch: pa.RecordBatch, languages: list[str]) -> Iterator[tuple[grams.C
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    keys = np.concatenate([k for k, _ in parts])
     order = np.argsort(keys, kind="stable")
-    found, firsts = np.unique(keys[order], return_index=True)
-    return found, np.add.reduceat(counts[order], firsts) if len(firsts) else counts
+    keys = keys[order]
+    counts = np.concatenate([c for _, c in parts])[order]
+    del order
+    fresh = np.ones(len(keys), dtype=bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    return keys[fresh], np.add.reduceat(counts, np.flatnonzero(fresh)) if len(keys) else counts
 
 
 def _count(languages: list[str]):
