@@ -10,11 +10,14 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: tempfile.TemporaryDirectory | None = None
+_DELETE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock, _writers, _setting_before = Lock(), 0, None
 _open_scope: ContextVar[list[str] | None] = ContextVar("open_scope", default=None)
 
 
@@ -31,6 +34,30 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder.name
 
 
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of the writes inside as soon as each has ended.
+
+    Otherwise they stay until the driver happens to collect its garbage, and many staged tables add up on the executors'
+    disks. A staged frame is written once, so nobody reads them again; the setting is as before when the last write ends.
+    """
+    global _writers, _setting_before
+    with _lock:
+        if not _writers:
+            _setting_before = spark.conf.get(_DELETE_SHUFFLES, None)
+            spark.conf.set(_DELETE_SHUFFLES, "true")
+        _writers += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writers -= 1
+            if not _writers and _setting_before is None:
+                spark.conf.unset(_DELETE_SHUFFLES)
+            elif not _writers:
+                spark.conf.set(_DELETE_SHUFFLES, _setting_before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
@@ -45,7 +72,8 @@ def stage(df: DataFrame, name: str, scoped: bool = True) -> DataFrame:
     scope = _open_scope.get()
     if scope is not None and scoped:
         scope.append(path)
-    df.write.parquet(path)
+    with _shuffles_deleted(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

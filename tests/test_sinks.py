@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainledger.jobs import in_parallel
@@ -114,3 +115,15 @@ def test_audit_columns(spark):
     row = with_audit(spark.range(1), "2026-01-02").first()
     assert row["BatchDate"] == dt.date(2026, 1, 2) and isinstance(row["LoadTimestamp"], dt.datetime)
     assert "BatchDate" not in with_audit(spark.range(1)).columns
+
+
+def test_staging_leaves_no_shuffle_files_and_the_session_as_it_was(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    counted = lambda n: spark.range(1000).groupBy((F.col("id") % n).alias("k")).count()
+    staged = in_parallel(spark, lambda n: stage(counted(n), "counted"), [3, 5, 7])
+    assert [df.count() for df in staged] == [3, 5, 7] and spark.conf.get(key, None) == before
+    spark.conf.set(key, "false")
+    stage(counted(2), "counted")
+    assert spark.conf.get(key) == "false"
+    spark.conf.unset(key) if before is None else spark.conf.set(key, before)
