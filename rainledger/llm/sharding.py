@@ -1,12 +1,14 @@
 """Proportional stratified interleaving: every shard holds every source in the proportion of the whole.
 
-Rows of a source are put in a seeded random order; a row's fractional rank there is ``(rank - 1/2) / rows of the
-source``. Sorting all rows by it interleaves the sources evenly, and cutting that order into equal runs gives
-shards whose counts differ by one at most and whose mixtures match.
+Rows of a source are put in a seeded random order; a row's fractional rank there is ``(rank from 0 + phase) / rows of the
+source``, where the phase between 0 and 1 comes from a seeded hash of the source. Sorting all rows by it interleaves the
+sources evenly, and cutting that order into equal runs gives shards whose counts differ by one at most and whose mixtures match.
+The phases keep many sources of one row, or of equal counts, from having one fraction.
 
 Both global ranks come from counts: a row's bucket (of the seeded hash, then of the fractional rank)
-is counted over all rows, running sums of the small counts give each bucket's first rank, and
-only rows of one bucket are sorted together. So a hot source is spread over all buckets. Column expressions only.
+is counted over all rows, running sums of the small counts give each bucket's first rank (in two
+levels, so that no task sums all buckets), and only rows of one bucket are sorted together. So a hot source is spread over all
+buckets. Column expressions only.
 
 Null sources are a stratum of their own, null texts are empty (size 8). Rows that repeat an id, or have none, are rows of
 their own (see ``rows``), so every row gets one place. Other columns are ignored. An empty table gives no rows.
@@ -22,13 +24,25 @@ from .rows import ROW, identified
 
 #: Rows that are sorted together, about; and the least number of buckets.
 BUCKET_ROWS, LEAST_BUCKETS = 2048, 1024
+#: Buckets whose running sum is taken in one task.
+RUN = 4096
+#: Steps of a phase.
+PHASES = 1 << 40
 
 
 def _ranked(rows: DataFrame, group: list[str], bucket: str, order: list[str], name: str) -> DataFrame:
     """The rank from 0 of every row in its group, in the order of bucket, then ``order``."""
     counts = rows.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select(*group, bucket, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"))
+    counts = counts.withColumn("_run", F.floor(F.col(bucket) / RUN))
+    earlier = lambda *keys: Window.partitionBy(*group, *keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda *keys: F.coalesce(F.sum("_rows").over(earlier(*keys)), F.lit(0))
+    runs = counts.groupBy(*group, "_run").agg(F.sum("_rows").alias("_rows"))
+    runs = runs.select(*group, "_run", before("_run").alias("_runs"))
+    firsts = (
+        counts.withColumn("_before", before("_run", bucket))
+        .join(runs, [*group, "_run"])
+        .select(*group, bucket, (F.col("_runs") + F.col("_before")).alias("_first"))
+    )
     own = Window.partitionBy(*group, bucket).orderBy(*order)
     return (
         rows.withColumn("_own", F.row_number().over(own) - 1)
@@ -42,7 +56,8 @@ def shard_documents(docs: DataFrame, shards: int, seed: str = "mix") -> DataFram
     """doc_id, source, size, text_crc32, ``shard`` and ``slot`` (the place in the shard, from 0) of every row.
 
     ``docs`` gives the first four. The order depends on the seed and the ids alone. Counts of shards differ by one at most, and a
-    shard's count of any source differs from its share by less than the number of sources.
+    shard's count of any source differs from its share by less than one, plus that source's part of all rows times the number of
+    sources.
     """
     rows = identified(docs, "doc_id", "text_crc32", "source", "size")
     total = rows.count()
@@ -56,10 +71,11 @@ def shard_documents(docs: DataFrame, shards: int, seed: str = "mix") -> DataFram
     )
     ranked = _ranked(keyed, ["_source"], "_bucket", ["_order", ROW], "_rank")
     sizes = keyed.groupBy("_source").agg(F.count(F.lit(1)).alias("_size"))
-    # The fraction (2 rank + 1) / (2 size) in 2**-53 steps: one exact order for rows of all sources, ties by source and id.
+    phase = F.pmod(F.xxhash64(F.lit(seed), "_source"), F.lit(PHASES)) + F.lit(0.5)
+    # The fraction in 2**-53 steps: one exact order for rows of all sources, ties by source and id.
     placed = (
         ranked.join(sizes, "_source")
-        .withColumn("_fraction", (2 * F.col("_rank") + 1) / (2 * F.col("_size")))
+        .withColumn("_fraction", (F.col("_rank") + phase / PHASES) / F.col("_size"))
         .withColumn("_bucket", F.floor(F.col("_fraction") * buckets))
         .withColumn("_all", F.lit(0))
     )
