@@ -82,7 +82,8 @@ class WordBpe:
         self.texts = self.tokens.__getitem__
         # Ids and texts fill together, so their generations change together.
         self.words, self.word_texts = Memory(MEMORY), Memory(MEMORY)
-        self.parts, self.part_texts = Memory(MEMORY), Memory(MEMORY)
+        #: The ids and the decoded text of a part.
+        self.parts = Memory(MEMORY)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of parts; ``_NONE`` where they never merge or there is no part."""
@@ -203,9 +204,10 @@ class WordBpe:
         parts = [text.split(" ") for text in texts]
         wanted = set().union(*parts)
         new = self.parts.missing(wanted)
-        self.part_texts.missing(wanted)
-        split = [(part, self._split(part)) for part in new]
-        words = set().union(*[own for _, own in split])
+        # Most parts are one word of ASCII letters.
+        single = {part: part.lower() for part in new if part.isalpha() and part.isascii()}
+        split = [(part, self._split(part)) for part in new if part not in single]
+        words = set(single.values()).union(*[own for _, own in split])
         fresh = self.words.missing(words)
         self.word_texts.missing(words)
         for word in [w for w in fresh if w[0] == _SPECIAL]:
@@ -214,13 +216,14 @@ class WordBpe:
             self.word_texts.young[word] = word[1:]
         self._learn(list(fresh))
         word_ids, word_text = self.words.young.__getitem__, self.word_texts.young.__getitem__
-        self.parts.young.update([(part, b"".join(map(word_ids, own))) for part, own in split])
-        self.part_texts.young.update([(part, " ".join(map(word_text, own))) for part, own in split])
-        ids, decoded = self.parts.young.__getitem__, self.part_texts.young.__getitem__
+        known = self.parts.young
+        known.update(zip(single, zip(map(word_ids, single.values()), map(word_text, single.values()))))
+        known.update([(part, (b"".join(map(word_ids, own)), " ".join(map(word_text, own)))) for part, own in split])
         out = []
         for own in parts:
-            data = b"".join(map(ids, own))
-            out.append((len(data) // 4, data, " ".join(filter(None, map(decoded, own)))))
+            found = [known[part] for part in own]
+            data = b"".join([ids for ids, _ in found])
+            out.append((len(data) // 4, data, " ".join([decoded for _, decoded in found if decoded])))
         return out
 
 
