@@ -18,8 +18,9 @@ spare). After ``STAR_ROUNDS`` rounds, documents that still share a block with an
 shingles are put in one order, those that only one component has first, then by frequency; linked documents share one
 of their first ``n - ceil(0.8 n) + 1``, and the places of the first one they share bound their intersection. So families of documents
 that differ too much fall apart without making their pairs, no pair within a group that is already
-connected is made, and no connection is lost. Pairs whose whole sketches of ``SKETCH_BITS`` bits differ too much are ruled out;
-verification compares the whole sets of 64-bit hashes.
+connected is made, and no connection is lost. Pairs whose whole sketches differ too much are ruled out: these have a bit for
+each element, ``SKETCH_BITS`` at least, as a sketch of fewer bits than elements tells long texts apart no more. Verification
+compares the whole sets of 64-bit hashes; sets are made for the documents that are compared, and move once they are.
 
 Null texts are empty. Rows that repeat an id, or have none, are documents of their own (see ``rows``). Other columns are
 ignored. An empty table gives no rows.
@@ -122,12 +123,31 @@ def block_keys(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
 
 
-def bit_sketch(shingles: np.ndarray) -> bytes:
-    """The parity of the shingles hashed to each of ``SKETCH_BITS`` bits."""
-    counts = np.bincount((grams.mix(shingles, 50) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+def bit_sketch(shingles: np.ndarray, bits: int = SKETCH_BITS) -> bytes:
+    """The parity of the shingles hashed to each of ``bits`` bits, a power of two; the two halves of a sketch make the next smaller."""
+    counts = np.bincount((grams.mix(shingles, 50) % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes | None:
+    """A sketch of at least a bit for each shingle; None where ``SKETCH_BITS`` are enough."""
+    return bit_sketch(shingles, 1 << (len(shingles) - 1).bit_length()) if len(shingles) > SKETCH_BITS else None
+
+
+def sketch_distances(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """In how many bits the sketches of each pair differ; of unlike ones the larger is folded to the size of the smaller."""
+    sizes = np.array([[len(a), len(b)] for a, b in zip(x, y)], dtype=np.int64).reshape(-1, 2)
+    found = np.zeros(len(sizes), dtype=np.int64)
+    for pair in np.unique(sizes, axis=0):
+        own, least = np.flatnonzero((sizes == pair).all(axis=1)), int(pair.min())
+        a, b = (
+            np.bitwise_xor.reduce(np.frombuffer(b"".join(z[i] for i in own.tolist()), dtype=np.uint64).reshape(len(own), -1, least // 8), axis=1)
+            for z in (x, y)
+        )
+        found[own] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return found
+
+
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     spares = pa.list_(pa.struct([("band", pa.int32()), ("spare", pa.int32())]))
     for batch in batches:
@@ -135,11 +155,11 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in grams.chunks(batch, ROW, "text"):
             for s in shingle_sets(chunk):
                 sums = (int(grams.mix(s, salt).sum(dtype=np.uint64).view(np.int64)) for salt in (41, 42))
-                rows.append((len(s), *sums, bit_sketch(s), spare_blocks(s)))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), spares]
+                rows.append((len(s), *sums, bit_sketch(s), wide_sketch(s), spare_blocks(s)))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), spares]
         columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(ROW), batch.column("doc_id"), *columns], names=[ROW, "doc_id", "n", "d1", "d2", "sketch", "spares"]
+            [batch.column(ROW), batch.column("doc_id"), *columns], names=[ROW, "doc_id", "n", "d1", "d2", "sketch", "wide", "spares"]
         )
 
 
@@ -191,11 +211,7 @@ def _near(percent: int):
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(n, -1) for c in ("x", "y"))
-            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            differ = sketch_distances(*(batch.column(c).to_pylist() for c in ("x", "y")))
             both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
             yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * differ <= (100 - percent) * both))
 
@@ -346,6 +362,9 @@ def components(edges: DataFrame, name: str = "llm-components") -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked. Only sets of documents in ``pairs`` are moved."""
+    ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "llm-asked")
+    sets = sets.join(ids, "id", "left_semi")
     beside = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     return beside.select("a", "b", "left", "right").mapInArrow(_linked(percent), "a long, b long")
 
@@ -376,7 +395,7 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     if not 80 <= percent <= 100:
         raise ValueError("the bands are made for a similarity of 0.8 or more")
     docs = docs.select(ROW, "doc_id", "text").filter(F.col(ROW).isNotNull())
-    kinds = f"{ROW} long, doc_id long, n long, d1 long, d2 long, sketch binary, spares array<struct<band:int,spare:int>>"
+    kinds = f"{ROW} long, doc_id long, n long, d1 long, d2 long, sketch binary, wide binary, spares array<struct<band:int,spare:int>>"
     sums = stage(docs.mapInArrow(_summaries, kinds), "llm-sets")
     classes = sums.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min(ROW).alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = stage(classes, "llm-classes")
@@ -392,18 +411,22 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
 
     def pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
         """Different pairs of ``rows`` that sizes and sketches allow to be linked."""
-        known = sums.select(ROW, "n", "sketch")
+        known = sums.select(ROW, "n", F.coalesce("wide", "sketch").alias("sketch"))
         both = rows.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
         both = both.join(known.toDF("a", "n_a", "x"), "a").join(known.toDF("b", "n_b", "y"), "b")
         both = both.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         return both.mapInArrow(_near(percent), "a long, b long")
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """id, shingles of the documents whose ids are told: a narrow table of known size, so that texts are moved only where it is large."""
+        asked = stage(ids.toDF(ROW).distinct(), "llm-asked")
+        return stage(docs.join(asked, ROW, "left_semi").mapInArrow(_sets, "id long, shingles binary"), "llm-shingles")
+
     dealt = docs.mapInArrow(_keys, f"key long, {ROW} long").repartition(partitions(docs), "key").sortWithinPartitions("key", ROW)
     stars = stage(dealt.mapInArrow(_stars, "key long, lead long, member long, open boolean"), "llm-stars")
     met = stage(pairs(standing(stars.select("lead", "member").distinct(), "lead", "member"), "lead", "member"), "llm-pairs")
     rest = stage(standing(stars.filter("open").select("key", "member"), "member").distinct(), "llm-open")
-    asked = met.select(F.col("a").alias(ROW)).union(met.select("b")).union(rest.select("member")).distinct()
-    sets = stage(docs.join(asked, ROW, "left_semi").mapInArrow(_sets, "id long, shingles binary"), "llm-shingles")
+    sets = sets_of(met.select("a").union(met.select("b")))
     edges = stage(_verified(met, sets, percent), "llm-links")
     found = components(edges)
     rest = _without_spares(_open(rest, found), sums).select("key", "member")
@@ -412,6 +435,8 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
         rest = _open(rest, found)
         if rest.limit(1).count() == 0:
             break
+        if round_ == 1:  # all that later rounds compare is in it
+            sets = sets.union(sets_of(rest.select(F.col("member").alias("id")).join(sets, "id", "left_anti")))
         if round_ < STAR_ROUNDS:
             order = F.xxhash64("member", F.lit(round_))
             # A leader meets all others and leaves.
@@ -420,7 +445,7 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
             meeting = rest.join(leads, "key").filter("component <> of").select(F.col("lead").alias("x"), F.col("member").alias("y"))
             rest = rest.join(leads.select("key", F.col("lead").alias("member")), ["key", "member"], "left_anti").select("key", "member")
         else:
-            rare = _rarest(rest.select("member", "component").distinct(), sets, percent)
+            rare = _rarest(stage(rest.select("member", "component").distinct(), "llm-members"), sets, percent)
             meeting = _rare_meetings(stage(rare, "llm-rarest"), sums, percent)
         fresh = stage(pairs(meeting, "x", "y").join(met, ["a", "b"], "left_anti"), "llm-pairs")
         rest = stage(rest.select("key", "member"), "llm-open")

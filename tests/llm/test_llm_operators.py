@@ -179,6 +179,28 @@ def test_parity_join_in_families_that_differ_too_much(spark, rounds, monkeypatch
     assert found == brute_components(texts)
 
 
+def test_parity_join_tells_long_texts_apart_by_their_sketches(spark):
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(9000)]
+    shared, own = words[:1500], [f"v{i}" for i in range(9000)]
+    texts = {1: words, 2: [*words[:8200], *own[:790]], 3: [*shared, *own[2000:9000]], 4: words[:7400], 5: [*shared, *words[8000:], *own[:50]]}
+    sets = {i: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for i, n in ((1, 900), (2, 1025), (3, 5000))}
+    for x in sets.values():
+        for y in sets.values():
+            sketches = [[parity_join.wide_sketch(z) or parity_join.bit_sketch(z)] for z in (x, y)]
+            bits = min(len(z[0]) for z in sketches) * 8
+            same = [[parity_join.bit_sketch(z, bits)] for z in (x, y)]
+            differ = parity_join.sketch_distances(*sketches)[0]
+            assert differ == parity_join.sketch_distances(*same)[0] <= len(np.setxor1d(x, y))
+    assert parity_join.sketch_distances([], []).tolist() == []
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    shingles = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in texts.items()}
+    linked = {(a, b) for a in texts for b in texts if a < b and 100 * len(shingles[a] & shingles[b]) >= 80 * len(shingles[a] | shingles[b])}
+    assert linked == {(1, 2), (1, 4), (2, 4)}
+    found = {r["doc_id"]: tuple(r)[1:] for r in parity_join.similar_components(docs).collect()}
+    assert found == {i: (len(shingles[i]), 1 if i in (1, 2, 4) else i) for i in texts}
+
+
 def test_parity_join_in_small_families_whose_first_document_is_too_far(spark):
     texts, wanted = [], {}
     for family in [*range(200), 12021, 50742, 91217, 110941, 113327, 176714]:  # in the last six, one of a pair sends empty blocks
