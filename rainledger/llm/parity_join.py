@@ -387,7 +387,8 @@ def similar_components(docs: DataFrame, percent: int = 80) -> DataFrame:
 def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, with all their columns."""
     rows = carried(docs)
-    firsts = _components(rows, percent).filter("first").select(ROW)
+    # Written first: its size is known, so the texts are moved only where it is large.
+    firsts = stage(_components(rows, percent).filter("first").select(ROW), "llm-firsts")
     return restored(rows.join(firsts, ROW, "left_semi"), docs)
 
 
