@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,8 +146,9 @@ def sales_summary(lines: DataFrame, catalog: DataFrame, *, guard: bool = True) -
     """Revenue, quantity, mean price and margin; grain: product x territory.
 
     Lines are summed per product and territory before the product join, so a best-seller's lines
-    meet in map-side sums and not in one join task. The second sum has the join's partitioning
-    and adds no shuffle; it matters only when a product is listed twice.
+    meet in map-side sums and not in one join task. A product listed twice counts twice: the
+    catalog's equal rows are counted before the join, and the sums multiplied, so no task sums the
+    wide joined rows again.
     """
     sold = lines.groupBy("ProductID", *SALE_KEYS).agg(
         F.sum("LineTotal").alias("_revenue"),
@@ -155,10 +156,9 @@ def sales_summary(lines: DataFrame, catalog: DataFrame, *, guard: bool = True) -
         F.sum("UnitPrice").alias("_prices"),
         F.count("UnitPrice").alias("_priced"),
     )
-    totals = (
-        sold.join(catalog, "ProductID")
-        .groupBy(*PRODUCT_KEYS, *SALE_KEYS)
-        .agg(*[F.sum(c).alias(c) for c in ("_revenue", "_quantity", "_prices", "_priced")])
+    listed = catalog.groupBy(*PRODUCT_KEYS).agg(F.count("*").alias("_listed"))
+    totals = sold.join(listed, "ProductID").withColumns(
+        {c: _times(sold, c, F.col("_listed")) for c in ("_revenue", "_quantity", "_prices", "_priced")}
     )
     price, cost = F.col("ListPrice"), F.col("StandardCost")
     return totals.withColumns(
@@ -172,6 +172,14 @@ def sales_summary(lines: DataFrame, catalog: DataFrame, *, guard: bool = True) -
     ).select(*SUMMARY_COLUMNS)
 
 
+def _times(sold: DataFrame, column: str, copies: Column) -> Column:
+    """A sum over ``copies`` equal rows, in the type that summing them has."""
+    kind = sold.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        kind = T.DecimalType(min(kind.precision + 10, 38), kind.scale)
+    return F.when(copies == 1, F.col(column).cast(kind)).otherwise((F.col(column) * copies).cast(kind))
+
+
 def sales_fact(summary: DataFrame, as_of: str | None) -> DataFrame:
     """The summary with load time and batch date."""
     return with_audit(summary.select(*SUMMARY_COLUMNS), as_of)

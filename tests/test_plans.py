@@ -103,6 +103,22 @@ def test_a_product_listed_twice_counts_twice(shop):
     assert (doubled["TotalRevenue"], doubled["TotalQty"], doubled["AvgUnitPrice"]) == (D("20.00"), 4, D("5.00"))
 
 
+def test_the_joined_rows_are_not_summed_again(shop):
+    """Sums of wide rows after the product join would hold the whole summary in the memory of few tasks."""
+    lines = sales.order_lines(*pick(shop, "header", "detail", "territory"))
+    catalog = sales.products(*pick(shop, "product", "subcategory", "category"))
+    once, twice = sales.sales_summary(lines, catalog), sales.sales_summary(lines, catalog.unionAll(catalog))
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
+    # A doubled catalog doubles every sum and keeps types, unknown totals and the mean price.
+    assert once.schema == twice.schema
+    rows = {(r["ProductID"], r["TerritoryID"]): r for r in once.collect()}
+    for r in twice.collect():
+        own = rows[r["ProductID"], r["TerritoryID"]]
+        assert r["TotalQty"] == 2 * own["TotalQty"] and r["AvgUnitPrice"] == own["AvgUnitPrice"]
+        assert r["TotalRevenue"] == (own["TotalRevenue"] and 2 * own["TotalRevenue"])
+
+
 def test_category_summary_golden(spark):
     rows = [
         (1, "Laptop", 15000000, "Electronics"),
