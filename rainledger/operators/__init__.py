@@ -13,6 +13,7 @@ from .quality import (
 )
 from .ranking import Tile, global_ntile, keep_first, surrogate_key, with_position
 from .rolling import rolling_sums
+from .spread import spread
 
 __all__ = [
     "QualityError",
@@ -28,6 +29,7 @@ __all__ = [
     "layer_counts",
     "null_profile",
     "rolling_sums",
+    "spread",
     "surrogate_key",
     "with_position",
 ]

@@ -11,6 +11,7 @@ from ..functions import clamp, date_key, exact_mean, flag_points, ladder, month_
 from ..operators.joins import broadcast_if_small
 from ..operators.ranking import keep_first, surrogate_key
 from ..operators.rolling import rolling_sums
+from ..operators.spread import spread
 
 CLIMATE_EVENT = "El Nino"
 #: The column that the stored risk facts are laid out by: YYYYMM of the date key.
@@ -97,11 +98,13 @@ def _points(scheme: Mapping[str, tuple]) -> Column:
 # --- bronze -------------------------------------------------------------------------------------
 
 
-def build_bronze(records: DataFrame) -> DataFrame:
+def build_bronze(records: DataFrame, rows: int | None = None) -> DataFrame:
     """One record per date and location: archive before forecast, then the newest file.
 
-    Archive wins even where its measures are NULL. ``records`` may carry ``ts``, the landing time.
+    Archive wins even where its measures are NULL. ``records`` may carry ``ts``, the landing time. With the number of
+    ``rows``, or a bound of it, tasks are of bounded size.
     """
+    records = records if rows is None else spread(records, ["date", "location"], rows)
     order = [F.col("dataset").asc_nulls_last()]
     if "ts" in records.columns:
         order.append(F.col("ts").desc_nulls_last())

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rainledger.operators import spread
 from rainledger.sources import inline_rows
 from rainledger.sources.fixed import LOCATION_SCHEMA, LOCATIONS
 from rainledger.sources.payload import RECORD_SCHEMA
@@ -189,27 +190,37 @@ def _points(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("int")
 
 
+def line_count(spark: SparkSession, sf_dir: str) -> int:
+    """Order lines, as the files' footers count them: a bound of the weather records."""
+    return table(spark, sf_dir, "lineitem").count()
+
+
 def weather_records(spark: SparkSession, sf_dir: str, places: DataFrame | None = None, modulo: int | None = None):
     """Landed weather records from the order lines; grain: data set x location x ship date.
 
-    Values are integers or exact binary fractions, so sums do not depend on their order.
+    Values are integers or exact binary fractions, so sums do not depend on their order. At the grain of suppliers nearly
+    every line is a record of its own, so sums before the shuffle would hold a whole scan in memory: the lines are dealt out
+    instead. Of a few places (``modulo``) the sums are small and come first.
     """
     places = supplier_places(spark, sf_dir) if places is None else places
     place = F.col("l_suppkey") if modulo is None else F.col("l_suppkey") % modulo
-    daily = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(
-            F.when(F.col("l_linestatus") == "O", "forecast").otherwise("archive").alias("dataset"),
-            place.alias("place"),
-            F.col("l_shipdate").cast("date").alias("day"),
-        )
-        .agg(
-            F.max("l_quantity").alias("most"),
-            F.min("l_quantity").alias("least"),
-            F.sum(_points("l_tax")).alias("tax"),
-            F.max(_points("l_tax")).alias("top_tax"),
-            F.max(_points("l_discount")).alias("top_discount"),
-        )
+    grain = ["dataset", "place", "day"]
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linestatus") == "O", "forecast").otherwise("archive").alias("dataset"),
+        place.alias("place"),
+        F.col("l_shipdate").cast("date").alias("day"),
+        "l_quantity",
+        _points("l_tax").alias("tax_points"),
+        _points("l_discount").alias("discount_points"),
+    )
+    if modulo is None:
+        lines = spread(lines, grain, line_count(spark, sf_dir))
+    daily = lines.groupBy(*grain).agg(
+        F.max("l_quantity").alias("most"),
+        F.min("l_quantity").alias("least"),
+        F.sum("tax_points").alias("tax"),
+        F.max("tax_points").alias("top_tax"),
+        F.max("discount_points").alias("top_discount"),
     )
     month = F.month("day")
     rain = F.when(month.isin(6, 7, 8, 9), 0.2578125).when(month.isin(12, 1, 2, 3), 1.0).otherwise(0.5)
