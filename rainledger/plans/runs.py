@@ -211,7 +211,7 @@ def weather_tables(records: DataFrame, store: str, events: DataFrame | None = No
         facts = tables["fact_weather_daily"]
         # With one row per day and place the risk facts are columns of one pass over the windows.
         assert_unique(facts, ["date_key", "location_key"], "fact_weather_daily")
-        risk = stage(weather.daily_risk(facts, places), "daily_risk")
+        risk = stage(weather.daily_risk(facts, places, facts.count()), "daily_risk")
         tables |= written(
             "silver",
             {

@@ -168,9 +168,9 @@ def weather_fact(bronze: DataFrame, dates: DataFrame, places: DataFrame) -> Data
     )
 
 
-def _with_drought(weather: DataFrame) -> DataFrame:
+def _with_drought(weather: DataFrame, rows: int | None = None) -> DataFrame:
     summed = rolling_sums(
-        weather,
+        weather if rows is None else spread(weather, ["location_key"], rows),
         ["location_key"],
         ["date_key"],
         {
@@ -190,9 +190,9 @@ def _with_fire(rows: DataFrame) -> DataFrame:
     return scored.withColumn("fire_risk_level", risk_level(F.col("fire_risk_score")))
 
 
-def drought_risk(weather: DataFrame) -> DataFrame:
-    """A location's window holds one row per day, so no window task exceeds the calendar."""
-    return _with_drought(weather).select(*DROUGHT_COLUMNS)
+def drought_risk(weather: DataFrame, rows: int | None = None) -> DataFrame:
+    """A location's window holds one row per day, so no window exceeds the calendar; ``rows`` bounds a task's locations."""
+    return _with_drought(weather, rows).select(*DROUGHT_COLUMNS)
 
 
 def fire_risk(drought: DataFrame, weather: DataFrame, places: DataFrame) -> DataFrame:
@@ -211,13 +211,13 @@ def mitigation(fire: DataFrame) -> DataFrame:
     return ranked.withColumn("recommended_action", action).select(*MITIGATION_COLUMNS)
 
 
-def daily_risk(weather: DataFrame, places: DataFrame) -> DataFrame:
-    """Weather, drought and fire columns together, in one pass over the weather fact.
+def daily_risk(weather: DataFrame, places: DataFrame, rows: int | None = None) -> DataFrame:
+    """Weather, drought and fire columns together, in one pass over the weather fact of about ``rows`` rows.
 
     Equal to joining the two stored facts again on their shared grain, without that join.
     """
     flags = places.select("location_key", "peatland_flag")
-    return _with_fire(_with_drought(weather).join(flags, "location_key"))
+    return _with_fire(_with_drought(weather, rows).join(flags, "location_key"))
 
 
 # --- gold ---------------------------------------------------------------------------------------

@@ -33,3 +33,9 @@ def test_bronze_tasks_are_bounded(spark, small_tasks):
     dealt = [place for place, line in enumerate(plan.split("\n")) if "RepartitionByExpression" in line and f", {tasks}" in line]
     grouped = next(place for place, line in enumerate(plan.split("\n")) if "Aggregate" in line)
     assert len(dealt) == 2 and dealt[0] < grouped < dealt[1]
+
+
+@pytest.mark.parametrize("name", ["drought_risk", "fire_risk", "mitigation"])
+def test_window_tasks_are_bounded(spark, small_tasks, name):
+    tasks = -(-adapters.line_count(spark, SMALL) // TASK)
+    assert QUERIES[name](spark, SMALL).rdd.getNumPartitions() == tasks
