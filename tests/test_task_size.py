@@ -39,3 +39,14 @@ def test_bronze_tasks_are_bounded(spark, small_tasks):
 def test_window_tasks_are_bounded(spark, small_tasks, name):
     tasks = -(-adapters.line_count(spark, SMALL) // TASK)
     assert QUERIES[name](spark, SMALL).rdd.getNumPartitions() == tasks
+
+
+def test_many_places_are_joined_in_bounded_tasks(spark, small_tasks, monkeypatch):
+    """Places beyond a broadcast: their records are dealt out by place, and all of them are the same."""
+    few = QUERIES["weather_bronze_dedup"](spark, SMALL)
+    monkeypatch.setattr(adapters, "is_small", lambda side: False, raising=False)
+    tasks = -(-adapters.line_count(spark, SMALL) // TASK)
+    many = QUERIES["weather_bronze_dedup"](spark, SMALL)
+    plan = many._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert any("RepartitionByExpression [place" in line and f", {tasks}" in line for line in plan)
+    assert many.count() == few.count() and many.exceptAll(few).isEmpty()

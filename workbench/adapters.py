@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainledger.operators import spread
+from rainledger.operators.joins import is_small
 from rainledger.sources import inline_rows
 from rainledger.sources.fixed import LOCATION_SCHEMA, LOCATIONS
 from rainledger.sources.payload import RECORD_SCHEMA
@@ -200,7 +201,8 @@ def weather_records(spark: SparkSession, sf_dir: str, places: DataFrame | None =
 
     Values are integers or exact binary fractions, so sums do not depend on their order. At the grain of suppliers nearly
     every line is a record of its own, so sums before the shuffle would hold a whole scan in memory: the lines are dealt out
-    instead. Of a few places (``modulo``) the sums are small and come first.
+    instead. Of a few places (``modulo``) the sums are small and come first. Too many places for a broadcast are joined in
+    tasks of bounded size too; a place has two records a day at most, so none of them outgrows its task.
     """
     places = supplier_places(spark, sf_dir) if places is None else places
     place = F.col("l_suppkey") if modulo is None else F.col("l_suppkey") % modulo
@@ -213,8 +215,9 @@ def weather_records(spark: SparkSession, sf_dir: str, places: DataFrame | None =
         _points("l_tax").alias("tax_points"),
         _points("l_discount").alias("discount_points"),
     )
+    rows = line_count(spark, sf_dir)
     if modulo is None:
-        lines = spread(lines, grain, line_count(spark, sf_dir))
+        lines = spread(lines, grain, rows)
     daily = lines.groupBy(*grain).agg(
         F.max("l_quantity").alias("most"),
         F.min("l_quantity").alias("least"),
@@ -222,6 +225,10 @@ def weather_records(spark: SparkSession, sf_dir: str, places: DataFrame | None =
         F.max("tax_points").alias("top_tax"),
         F.max("discount_points").alias("top_discount"),
     )
+    if is_small(places):
+        places = F.broadcast(places)
+    else:
+        daily = spread(daily, ["place"], rows)
     month = F.month("day")
     rain = F.when(month.isin(6, 7, 8, 9), 0.2578125).when(month.isin(12, 1, 2, 3), 1.0).otherwise(0.5)
     values = daily.withColumns(
